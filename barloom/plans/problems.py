@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.identity import SQL_KEYED, canonical_archive, canonical_symbol, unit_factor
+from barloom.functions.identity import NOISE, SQL_KEYED, SQL_MS, canonical_archive, canonical_symbol, unit_factor, with_identity
+from barloom.operators import gridfill
+from barloom.operators.asknown import as_known, iso_millis
+from barloom.operators.history import history
 from barloom.operators.redelivery import MessageTable
 from barloom.session import work_dir
 
@@ -53,5 +56,98 @@ def p1_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 P1_FOUND_SQL = f"""WITH {SQL_KEYED} SELECT row_id FROM (SELECT row_id, min(row_id) OVER (PARTITION BY sym, ivl, inst, arc) AS first_id FROM keyed) WHERE row_id > first_id"""
 P1_KEPT_SQL = f"""WITH {SQL_KEYED}, found AS ({P1_FOUND_SQL[P1_FOUND_SQL.rindex("SELECT row_id FROM"):]}) SELECT row_id, batch_id, symbol, interval, open_time FROM klines WHERE row_id NOT IN (SELECT row_id FROM found)"""
 
-QUERIES = {"p1_found": p1_found, "p1_kept": p1_kept}
-SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL}
+# -- 2
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = with_identity(table(spark, sf_dir, "klines").select("row_id", "record_key", "symbol", "interval", "open_time", "source_archive", "archive_source", "close"))
+    readings = bars.where("_instant is not null").select(F.col("_symbol").alias("s"), F.col("_interval").alias("g"), F.col("_slot").alias("slot"), F.col("row_id").alias("order"), F.col("close").alias("value"))
+    slots = gridfill.promised_slots(table(spark, sf_dir, "archive_catalog")).select(F.col("symbol").alias("s"), F.col("interval").alias("g"), "slot")
+    return gridfill.regular_grid(readings, slots)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Promised slots without any reading."""
+    return _grid(spark, sf_dir).where(F.col("status") != gridfill.OBSERVED).select(F.col("s").alias("symbol"), F.col("g").alias("interval"), F.col("slot").alias("open_time"))
+
+
+def p2_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole regular series of closes, observed, filled and marked."""
+    return _grid(spark, sf_dir).select(F.col("s").alias("symbol"), F.col("g").alias("interval"), F.col("slot").alias("open_time"), F.col("value").alias("close"), "status", "n_readings")
+
+
+P2_FOUND_SQL = rf"""WITH {SQL_KEYED},
+listed AS (SELECT DISTINCT symbol, interval, coalesce(nullif(regexp_extract(zip_name, '-(\d{{4}}-\d{{2}}(-\d{{2}})?)\.zip$', 1), ''), archive_period) AS period FROM archive_catalog),
+spans AS (SELECT symbol, interval, CAST({SQL_MS} AS BIGINT) AS ms, CASE WHEN length(period) = 7 THEN CAST(period || '-01' AS DATE) ELSE CAST(period AS DATE) END AS first, CASE WHEN length(period) = 7 THEN CAST(CAST(period || '-01' AS DATE) + INTERVAL 1 MONTH AS DATE) ELSE CAST(CAST(period AS DATE) + INTERVAL 1 DAY AS DATE) END AS past FROM listed),
+slots AS (SELECT DISTINCT symbol, interval, unnest(range(CAST(epoch_ms(CAST(first AS TIMESTAMP)) AS BIGINT), CAST(epoch_ms(CAST(past AS TIMESTAMP)) AS BIGINT), ms)) AS open_time FROM spans)
+SELECT symbol, interval, open_time FROM slots s WHERE NOT EXISTS (SELECT 1 FROM keyed k WHERE k.sym = s.symbol AND k.ivl = s.interval AND k.slot = s.open_time)"""
+
+# -- 5
+
+
+def listing_versions(meta: DataFrame) -> DataFrame:
+    """(entity, valid_from, valid_to, state) of the listing periods in universe_metadata: of each instrument its last ingestion, the larger meta_row_id where two tie. state has instrument_id, status, listed_at, delisted_at as spelled there, and whether the period is the symbol's latest."""
+    held = meta.where("instrument_id is not null").groupBy("instrument_id").agg(F.max(F.struct(iso_millis(F.col("ingestion_time")).alias("at"), "meta_row_id", "symbol", "status", "listed_at", "delisted_at")).alias("m"))
+    v = held.select(canonical_symbol(F.col("m.symbol")).alias("entity"), iso_millis(F.col("m.listed_at")).alias("valid_from"), iso_millis(F.col("m.delisted_at")).alias("valid_to"), "instrument_id", F.lower(F.trim("m.status")).alias("status"), "m.listed_at", "m.delisted_at")
+    latest = v.groupBy("entity").agg(F.max(F.struct("valid_from", "instrument_id")).alias("l")).select(F.col("entity").alias("_e"), F.col("l.instrument_id").alias("_latest"))
+    v = v.join(latest, F.col("entity") == F.col("_e"), "left")
+    return v.select("entity", "valid_from", "valid_to", F.struct("instrument_id", "status", "listed_at", "delisted_at", (F.col("instrument_id") == F.col("_latest")).alias("is_latest")).alias("state"))
+
+
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = with_identity(table(spark, sf_dir, "klines").select("row_id", "record_key", "symbol", "interval", "open_time", "source_archive", "archive_source"), slots=False)
+    events = bars.where("_symbol is not null and _instant is not null").select("row_id", F.col("_symbol").alias("entity"), F.col("_instant").alias("time"))
+    return as_known(events, listing_versions(table(spark, sf_dir, "universe_metadata")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in a listing period that is not the symbol's latest, or in none."""
+    return _listed(spark, sf_dir).where("state is null or not state.is_latest").select("row_id", F.coalesce("state.instrument_id", F.lit("none")).alias("instrument_id"))
+
+
+def p5_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with identity and the instrument that was valid at its time."""
+    return _listed(spark, sf_dir).select("row_id", "state.instrument_id", "state.status", "state.listed_at", "state.delisted_at")
+
+
+SQL_PERIODS = f"""held AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instrument_id ORDER BY CAST(ingestion_time AS TIMESTAMPTZ) DESC, meta_row_id DESC) AS rn FROM universe_metadata WHERE instrument_id IS NOT NULL) WHERE rn = 1),
+periods AS (SELECT *, row_number() OVER (PARTITION BY psym ORDER BY valid_from DESC, instrument_id DESC) = 1 AS is_latest FROM (SELECT instrument_id, nullif(regexp_replace(upper(symbol), '{NOISE}', '', 'g'), '') AS psym, lower(trim(status)) AS status, listed_at, delisted_at, epoch_ms(CAST(listed_at AS TIMESTAMPTZ)) AS valid_from, epoch_ms(CAST(nullif(trim(delisted_at), '') AS TIMESTAMPTZ)) AS valid_to FROM held)),
+joined AS (SELECT k.row_id, p.instrument_id, p.status, p.listed_at, p.delisted_at, p.is_latest FROM keyed k LEFT JOIN periods p ON p.psym = k.sym AND k.inst >= p.valid_from AND (p.valid_to IS NULL OR k.inst < p.valid_to))"""
+P5_FOUND_SQL = f"""WITH {SQL_KEYED}, {SQL_PERIODS} SELECT row_id, coalesce(instrument_id, 'none') AS instrument_id FROM joined WHERE instrument_id IS NULL OR NOT is_latest"""
+P5_JOINED_SQL = f"""WITH {SQL_KEYED}, {SQL_PERIODS} SELECT row_id, instrument_id, status, listed_at, delisted_at FROM joined"""
+
+# -- 6
+
+
+def _size(c: str) -> Column:
+    """A size as a decimal, whatever its notation; null if it is none."""
+    return F.trim(c).try_cast("decimal(38,18)")
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = lambda c: F.nullif(F.lower(F.trim(F.col(c))), F.lit(""))
+    snaps = table(spark, sf_dir, "universe_snapshots").select(
+        F.col("instrument_id").alias("entity"), F.col("server_time").alias("time"), "received_at", "snap_row_id",
+        word("status").alias("status"), _size("tick_size").alias("tick_size"), _size("step_size").alias("step_size"),
+        F.coalesce(word("successor_id"), F.lit("")).alias("successor_id"),
+    )
+    return history(snaps, ["status", "tick_size", "step_size", "successor_id"], ["received_at", "snap_row_id"])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first snapshot of each version of an instrument."""
+    return _versions(spark, sf_dir).select(F.col("entity").alias("instrument_id"), F.col("valid_from").alias("server_time"))
+
+
+def p6_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version with the period in which it held; sizes as plain decimals."""
+    return _versions(spark, sf_dir).withColumnRenamed("entity", "instrument_id").withColumn("successor_id", F.nullif("successor_id", F.lit("")))
+
+
+SQL_VERSIONS = """held AS (SELECT * FROM (SELECT instrument_id, server_time, nullif(lower(trim(status)), '') AS status, TRY_CAST(trim(tick_size) AS DECIMAL(38,18)) AS tick, TRY_CAST(trim(step_size) AS DECIMAL(38,18)) AS step, coalesce(lower(trim(successor_id)), '') AS succ, row_number() OVER (PARTITION BY instrument_id, server_time ORDER BY received_at DESC, snap_row_id DESC) AS rn FROM universe_snapshots) WHERE rn = 1),
+known AS (SELECT instrument_id, server_time, last_value(status IGNORE NULLS) OVER w AS status, last_value(tick IGNORE NULLS) OVER w AS tick, last_value(step IGNORE NULLS) OVER w AS step, succ FROM held WINDOW w AS (PARTITION BY instrument_id ORDER BY server_time ROWS UNBOUNDED PRECEDING)),
+flagged AS (SELECT *, lag(server_time) OVER w IS NULL OR status <> lag(status) OVER w OR tick <> lag(tick) OVER w OR step <> lag(step) OVER w OR succ <> lag(succ) OVER w AS starts FROM known WINDOW w AS (PARTITION BY instrument_id ORDER BY server_time))"""
+P6_FOUND_SQL = f"""WITH {SQL_VERSIONS} SELECT instrument_id, server_time FROM flagged WHERE starts"""
+
+QUERIES = {"p1_found": p1_found, "p1_kept": p1_kept, "p2_found": p2_found, "p2_grid": p2_grid, "p5_found": p5_found, "p5_joined": p5_joined, "p6_found": p6_found, "p6_history": p6_history}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL, "p2_found": P2_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_joined": P5_JOINED_SQL, "p6_found": P6_FOUND_SQL}
