@@ -9,6 +9,7 @@ from barloom.functions.identity import NOISE, SQL_KEYED, SQL_MS, canonical_archi
 from barloom.operators import gridfill
 from barloom.operators.asknown import as_known, iso_millis
 from barloom.operators.history import history
+from barloom.operators.spikes import implausible
 from barloom.operators.redelivery import MessageTable
 from barloom.session import work_dir
 
@@ -82,6 +83,40 @@ spans AS (SELECT symbol, interval, CAST({SQL_MS} AS BIGINT) AS ms, CASE WHEN len
 slots AS (SELECT DISTINCT symbol, interval, unnest(range(CAST(epoch_ms(CAST(first AS TIMESTAMP)) AS BIGINT), CAST(epoch_ms(CAST(past AS TIMESTAMP)) AS BIGINT), ms)) AS open_time FROM spans)
 SELECT symbol, interval, open_time FROM slots s WHERE NOT EXISTS (SELECT 1 FROM keyed k WHERE k.sym = s.symbol AND k.ivl = s.interval AND k.slot = s.open_time)"""
 
+# -- 4
+
+
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = with_identity(table(spark, sf_dir, "klines").select("row_id", "record_key", "symbol", "interval", "open_time", "source_archive", "archive_source", "open", "high", "low", "close_time", "trade_count"))
+    readings = bars.where("_instant is not null").select(
+        F.col("row_id").alias("id"), F.col("_symbol").alias("s"), F.col("_interval").alias("g"), F.col("_ms").alias("ms"), F.col("_slot").alias("slot"), F.col("_instant").alias("instant"),
+        "open", "high", "low", unit_factor(F.col("open_time"), F.col("close_time")).alias("close_time"), "trade_count",
+    )
+    return implausible(readings)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a spike beyond the series' cutoff that also stands the exact check, a frozen bar, an impossible price or a wrong time."""
+    return _flags(spark, sf_dir).where("(spike and extreme) or stuck or impossible or mistimed").select(F.col("id").alias("row_id"))
+
+
+def p4_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows that any rule flags, with the rules."""
+    return _flags(spark, sf_dir).where("spike or stuck or impossible or mistimed").select(F.col("id").alias("row_id"), "x", "cut", "spike", "extreme", "stuck", "impossible", "mistimed")
+
+
+P4_FOUND_SQL = f"""WITH {SQL_KEYED},
+p AS (SELECT row_id, sym, ivl, ms, inst, slot, CASE WHEN NOT isnan(open) THEN open END AS o, CASE WHEN NOT isnan(high) THEN high END AS h, CASE WHEN NOT isnan(low) THEN low END AS l, trade_count AS tc, CASE WHEN abs(open_time) < 100000000000 THEN close_time * 1000 WHEN abs(open_time) < 100000000000000 THEN close_time WHEN abs(open_time) < 100000000000000000 THEN close_time // 1000 ELSE close_time // 1000000 END AS ct FROM keyed),
+slots AS (SELECT sym, ivl, slot, min(least(o, h, l)) AS lo, max(greatest(o, h, l)) AS hi FROM p WHERE coalesce(o, h, l) IS NOT NULL GROUP BY ALL),
+nb AS (SELECT *, row_number() OVER w AS r, lag(lo) OVER w AS plo, lag(hi) OVER w AS phi, lead(lo) OVER w AS nlo, lead(hi) OVER w AS nhi FROM slots WINDOW w AS (PARTITION BY sym, ivl ORDER BY slot)),
+med AS (SELECT sym, ivl, median(h - l) AS m FROM p WHERE tc > 0 AND h IS NOT NULL AND l IS NOT NULL GROUP BY ALL),
+far AS (SELECT row_id FROM (SELECT row_id, sym, ivl, slot, unnest([o, h, l]) AS v FROM p) JOIN nb USING (sym, ivl, slot) JOIN med USING (sym, ivl) WHERE v IS NOT NULL AND plo IS NOT NULL AND nlo IS NOT NULL AND least(greatest(plo - v, v - phi, 0), greatest(nlo - v, v - nhi, 0)) > 8 * m),
+bars AS (SELECT DISTINCT sym, ivl, r, o, h, l FROM p JOIN nb USING (sym, ivl, slot) WHERE tc > 0 AND o IS NOT NULL AND h IS NOT NULL AND l IS NOT NULL),
+isles AS (SELECT *, r - row_number() OVER (PARTITION BY sym, ivl, o, h, l ORDER BY r) AS isle FROM bars),
+runs AS (SELECT sym, ivl, r, o, h, l FROM (SELECT *, count(*) OVER (PARTITION BY sym, ivl, o, h, l, isle) AS n FROM isles) WHERE n >= 6),
+stuck AS (SELECT row_id FROM p JOIN nb USING (sym, ivl, slot) JOIN runs USING (sym, ivl, r, o, h, l) WHERE tc > 0)
+SELECT DISTINCT row_id FROM (SELECT row_id FROM far UNION ALL SELECT row_id FROM stuck UNION ALL SELECT row_id FROM p WHERE o <= 0 OR h <= 0 OR l <= 0 OR h < l OR o < l OR o > h OR ct <= inst OR abs(ct - inst + 1 - ms) > ms / 2)"""
+
 # -- 5
 
 
@@ -149,5 +184,5 @@ known AS (SELECT instrument_id, server_time, last_value(status IGNORE NULLS) OVE
 flagged AS (SELECT *, lag(server_time) OVER w IS NULL OR status <> lag(status) OVER w OR tick <> lag(tick) OVER w OR step <> lag(step) OVER w OR succ <> lag(succ) OVER w AS starts FROM known WINDOW w AS (PARTITION BY instrument_id ORDER BY server_time))"""
 P6_FOUND_SQL = f"""WITH {SQL_VERSIONS} SELECT instrument_id, server_time FROM flagged WHERE starts"""
 
-QUERIES = {"p1_found": p1_found, "p1_kept": p1_kept, "p2_found": p2_found, "p2_grid": p2_grid, "p5_found": p5_found, "p5_joined": p5_joined, "p6_found": p6_found, "p6_history": p6_history}
-SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL, "p2_found": P2_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_joined": P5_JOINED_SQL, "p6_found": P6_FOUND_SQL}
+QUERIES = {"p1_found": p1_found, "p1_kept": p1_kept, "p2_found": p2_found, "p2_grid": p2_grid, "p4_found": p4_found, "p4_flags": p4_flags, "p5_found": p5_found, "p5_joined": p5_joined, "p6_found": p6_found, "p6_history": p6_history}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_joined": P5_JOINED_SQL, "p6_found": P6_FOUND_SQL}
