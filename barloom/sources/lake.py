@@ -32,12 +32,12 @@ def _schema(text_times: bool, month_in_path: bool) -> T.StructType:
 def read_bars(spark: SparkSession, root: str, symbols: list[str] | None = None, start_ms: int | None = None, end_ms: int | None = None, current: bool = True) -> DataFrame:
     """Bars of a dataset, of the given symbols and with open_time in [start_ms, end_ms). The times also become conditions on year and month, which the optimizer couldn't derive from open_time, so other partitions aren't opened. A dataset that isn't there has no rows; folders beside symbol=* are ignored."""
     schema = _schema(current, current)
-    files = Files(spark, root)
-    if not any(n.startswith("symbol=") for n in files.names()):
+    there = [n for n in Files(spark, root).names() if n.startswith("symbol=")]
+    if symbols is not None:  # other symbols' folders aren't even listed
+        there = sorted({f"symbol={s.upper()}" for s in symbols} & set(there))
+    if not there:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/symbol=*")
-    if symbols is not None:
-        df = df.where(F.col("symbol").isin([s.upper() for s in symbols]))
+    df = spark.read.schema(schema).option("basePath", root).parquet(*([f"{root}/symbol=*"] if symbols is None else [f"{root}/{n}" for n in there]))
     if start_ms is not None:
         df = df.where(F.col("open_time") >= start_ms)
     if end_ms is not None:

@@ -35,13 +35,11 @@ def _finish(df: DataFrame, channel: str, first_error: Column) -> DataFrame:
 
 def parse_rest(rows: DataFrame, now_ms: Column, lag_ms: int = 2000) -> DataFrame:
     """rows (symbol, interval, payload, ...) with a bar's columns, is_closed and error. payload is a JSON array of at least eleven elements by position. A bar is closed when close_time lies lag_ms before now."""
-    a = F.from_json("payload", "array<string>")
-    df = rows.withColumn("_a", a).withColumn("symbol", F.upper("symbol"))
-    for i, c in enumerate(CSV):
-        df = df.withColumn(c, F.try_element_at("_a", F.lit(i + 1)).try_cast(TYPES[c]))
+    df = _fixed(rows.withColumn("symbol", F.upper("symbol")), {"_a": F.from_json("payload", "array<string>")})
     short = F.when(F.col("_a").isNull(), "payload is not a JSON array").when(F.size("_a") < 11, "bar has fewer than 11 fields")
+    df = _fixed(df, {c: F.try_element_at("_a", F.lit(i + 1)).try_cast(TYPES[c]) for i, c in enumerate(CSV)} | {"_error": short})
     df = df.withColumn("is_closed", F.col("close_time") <= now_ms - lag_ms)
-    return _finish(df.drop("_a"), "rest", short)
+    return _finish(df.drop("_a"), "rest", F.col("_error")).drop("_error")
 
 
 def _get(v: str, path: str, kind: str) -> Column:
