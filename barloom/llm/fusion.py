@@ -66,8 +66,9 @@ def _posteriors(items: DataFrame, f: str, n: int, accuracy: list[float], depends
     return df.select("*", *[(F.col(f"{f}_e{i}") / F.col(f"{f}_z")).alias(f"{f}_p{i}") for i in range(n)])
 
 
-def _learn(items: DataFrame, f: str, n: int, accuracy: list[float], depends: dict) -> tuple[list[float], dict[tuple[int, int], float]]:
-    """Accuracies and dependences after one pass; one row of sums."""
+def _learn(items: DataFrame, f: str, n: int, accuracy: list[float], depends: dict | None) -> tuple[list[float], dict[tuple[int, int], float]]:
+    """Accuracies and dependences after one pass; one row of sums. The first pass (depends is None) learns dependences only: from how often two sources agree at all, since votes that aren't discounted yet would make a group of copiers look right and those who contradict it look like copiers."""
+    first, depends = depends is None, depends or {}
     df = _posteriors(items, f, n, accuracy, depends)
     sums = [F.sum(f"{f}_p{i}").alias(f"p{i}") for i in range(n)] + [F.count(f"{f}_p{i}").alias(f"n{i}") for i in range(n)]
     for i in range(n):
@@ -76,7 +77,8 @@ def _learn(items: DataFrame, f: str, n: int, accuracy: list[float], depends: dic
             both = F.col(f"{f}_{i}").isNotNull() & F.col(f"{f}_{j}").isNotNull()
             sums += [F.sum(F.when(s, F.col(f"{f}_p{i}"))).alias(f"t{i}_{j}"), F.sum(F.when(s, 1 - F.col(f"{f}_p{i}"))).alias(f"f{i}_{j}"), F.count(F.when(both & ~s, 1)).alias(f"d{i}_{j}")]
     r = df.agg(*sums).first()
-    accuracy = [min(0.99, max(0.01, (r[f"p{i}"] + 0.8) / (r[f"n{i}"] + 1))) if r[f"n{i}"] else accuracy[i] for i in range(n)]
+    if not first:
+        accuracy = [min(0.99, max(0.01, (r[f"p{i}"] + 0.8) / (r[f"n{i}"] + 1))) if r[f"n{i}"] else accuracy[i] for i in range(n)]
     new = {}
     for i in range(n):
         for j in range(i + 1, n):
@@ -85,6 +87,9 @@ def _learn(items: DataFrame, f: str, n: int, accuracy: list[float], depends: dic
             alone = (true, false, max(1e-9, 1 - true - false))
             m = (a + b) / 2
             copied = (m * c + true * (1 - c), (1 - m) * c + false * (1 - c), alone[2] * (1 - c))
+            if first:
+                alone = (true + false, true + false, alone[2])
+                copied = tuple(c + (1 - c) * x for x in alone[:2]) + (alone[2] * (1 - c),)
             gain = sum((r[f"{k}{i}_{j}"] or 0) * math.log(max(y, 1e-12) / max(x, 1e-12)) for k, x, y in zip("tfd", alone, copied, strict=True))
             new[i, j] = 1 / (1 + (1 - PRIOR) / PRIOR * math.exp(max(-500.0, min(500.0, -gain))))
     return accuracy, new
@@ -106,10 +111,10 @@ def fuse(rows: DataFrame, fields: list[str], rounds: int = 3) -> DataFrame:
     items = stored(collect_claims(rows, fields, sources), "claims")
     out, keep = items, ["item", "n_copies"]
     for f in fields:
-        accuracy, depends = [0.8] * n, {}
+        accuracy, depends = [0.8] * n, None
         for _ in range(rounds):
             accuracy, depends = _learn(items, f, n, accuracy, depends)
-        out = _posteriors(out, f, n, accuracy, depends)
+        out = _posteriors(out, f, n, accuracy, depends or {})
         best = F.coalesce(F.greatest(*[F.col(f"{f}_p{i}") for i in range(n)]) if n > 1 else F.col(f"{f}_p0"), F.lit(0.0))
         out = out.withColumn(f"{f}_belief", best)
         value, source = F.lit(None).cast("double"), F.lit(None).cast("string")

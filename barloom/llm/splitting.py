@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -89,13 +89,35 @@ def pieces(text: str, t: Tokenizer, limit: int, overlap: int) -> list[tuple[int,
     return out
 
 
+def full_pieces(text: str, t: Tokenizer, limit: int, overlap: int = 0) -> list[tuple[int, int, int, int]]:
+    """As pieces(), without overlap and for filling containers: each piece but the last ends at the strongest boundary in the last eighth of the limit, of equals the latest, or without any between two tokens, so little of the limit is left over."""
+    x = _Text(text, t)
+    a, out = 0, []
+    while a < len(text):
+        lo, room = int(x.before[a]), limit
+        while True:
+            b = len(text) if x.size(a, len(text)) <= room else max(x.char_at(lo + room), a + 1)
+            if b < len(text):
+                i, j = np.searchsorted(x.at, max(x.char_at(lo + room - limit // 8), a + 1)), np.searchsorted(x.at, b, "right")
+                if j > i:
+                    s = x.strength[i:j]
+                    b = int(x.at[i + np.flatnonzero(s == s.max())[-1]])
+            n = t.count(text[a:b])
+            if n <= limit or b == a + 1:
+                break
+            room = max(1, room - max(1, n - limit))
+        out.append((a, a, b, n))
+        a = b
+    return out
+
+
 SHAPE = "doc_id long, piece_no int, start_char long, core_char long, end_char long, n_tokens int, text_tokens int, piece string"
 
 
-def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, keep_short: bool = False, with_text: bool = True) -> DataFrame:
+def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, keep_short: bool = False, with_text: bool = True, cut: Callable = pieces) -> DataFrame:
     """The pieces of each text with more than limit tokens, in order: doc_id, piece_no from 0, start_char (with the overlap), core_char (without), end_char, n_tokens of the piece, text_tokens of the whole text, and the piece itself. overlap must be less than limit.
 
-    docs: (doc_id, text); other columns are ignored. Texts within the limit give no row, or one whole piece if keep_short. Null and empty texts have no tokens and give no row. Repeated rows are cut each for itself. A text without any natural place is cut between tokens, never inside a character. No text has more tokens than bytes, so texts of at most limit bytes need not be encoded to know that they fit. with_text=False leaves piece null.
+    docs: (doc_id, text); other columns are ignored. Texts within the limit give no row, or one whole piece if keep_short. Null and empty texts have no tokens and give no row. Repeated rows are cut each for itself. A text without any natural place is cut between tokens, never inside a character. No text has more tokens than bytes, so texts of at most limit bytes need not be encoded to know that they fit. with_text=False leaves piece null. cut: the function of (text, tokenizer, limit, overlap) that cuts.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
@@ -109,7 +131,7 @@ def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, ke
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 n = t.count(text)
                 if n > limit:
-                    rows += [(doc, i, s, c, e, k, n, text[s:e] if with_text else None) for i, (s, c, e, k) in enumerate(pieces(text, t, limit, overlap))]
+                    rows += [(doc, i, s, c, e, k, n, text[s:e] if with_text else None) for i, (s, c, e, k) in enumerate(cut(text, t, limit, overlap))]
                     held += len(text)
                 elif keep_short and n:
                     rows.append((doc, 0, 0, 0, len(text), n, n, text if with_text else None))
