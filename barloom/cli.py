@@ -7,14 +7,11 @@ import json
 import sys
 import time
 
-from pyspark.sql import functions as F
-
 from barloom.intervals import UnknownInterval, expand_intervals
 from barloom.operators import continuity, layout, quality
-from barloom.operators.conflicts import resolve_archives
-from barloom.schema import BAR, VALUES
 from barloom.session import default_cpus, session
 from barloom.sources import archives, lake
+from barloom.sources.materialize import StrictError, materialize
 
 
 def _rows(df) -> list[dict]:
@@ -22,14 +19,11 @@ def _rows(df) -> list[dict]:
 
 
 def _materialize(spark, a) -> tuple[dict, int]:
-    """Verified archives of a file manifest to a seed dataset, with the counts of what was resolved and quarantined."""
-    units = archives.work_units(spark, a.files, a.raw).where(F.col("interval") == a.interval)
-    bars = archives.parse_lines(archives.read_zip_lines(spark, units)).withColumnRenamed("line_no", "order")
-    got = resolve_archives(bars, ["symbol", "open_time"], VALUES)
-    won = got.select("duplicates", "conflicts", "inconsistent", "winner.*").persist()
-    bad = lake.write_seed(won.select(*BAR.fieldNames()), a.out)
-    counts = won.agg(F.count(F.lit(1)).alias("bars"), F.sum("duplicates").alias("duplicates"), F.sum("conflicts").alias("conflicts"), F.sum("inconsistent").alias("inconsistent")).first().asDict()
-    return counts | {"quarantined": bad.count()}, 1 if a.strict and (counts["conflicts"] or counts["inconsistent"]) else 0
+    """Verified archives of a file manifest to a seed dataset."""
+    try:
+        return materialize(spark, archives.work_units(spark, a.files, a.raw), a.out, a.interval, a.strict, a.resume), 0
+    except StrictError as e:
+        return {"strict": json.loads(str(e))}, 1
 
 
 def _validate(spark, a) -> tuple[dict, int]:
@@ -66,7 +60,7 @@ def _probe(spark, a) -> tuple[dict, int]:
 
 
 COMMANDS = {
-    "materialize": (_materialize, ["--interval!", "--files!", "--raw!", "--out!", "--strict?"]),
+    "materialize": (_materialize, ["--interval!", "--files!", "--raw!", "--out!", "--strict?", "--resume?"]),
     "validate": (_validate, ["--root!", "--current?"]),
     "continuity": (_continuity, ["--root!", "--symbols", "--now-ms#"]),
     "audit-layout": (_audit, ["--root!"]),

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.session import stored
+
 #: Rank of an archive's source; a later one may overrule an earlier one.
 SOURCE_RANK = {"monthly": 1, "daily": 2}
 
@@ -36,6 +38,10 @@ def resolve_archives(rows: DataFrame, key: list[str], values: list[str], source:
     keyed = rows.select(*[F.col(k).alias(f"_k_{k}") for k in key], place.alias("r"))
     on = [f"_k_{k}" for k in key]
     eq = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in on])
+    # Most keys have one row: only the others go through the fold.
+    many = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    single = keyed.join(many, eq(keyed, many), "left_anti").select(*on, F.col("r").alias("base"), F.lit(None).cast(keyed.schema["r"].dataType).alias("star"), *[F.lit(0).cast("long").alias(c) for c in ("duplicates", "conflicts", "inconsistent")])
+    keyed = stored(keyed.join(many, eq(keyed, many), "left_semi"), "conflicts")
     base = keyed.groupBy(*on).agg(F.min("r").alias("base"))
     a, b = keyed.alias("a"), base.alias("b")
     joined = a.join(b, eq(a, b)).select(*[F.col(f"a.{k}") for k in on], "r", "base")
@@ -52,6 +58,7 @@ def resolve_archives(rows: DataFrame, key: list[str], values: list[str], source:
     # Exact copies of the base or the overruling row, order included, are duplicates as well.
     copies = F.greatest(n(is_base) - 1, F.lit(0)) + F.greatest(n(is_star & has) - 1, F.lit(0))
     out = whole.groupBy(*on).agg(F.first("base").alias("base"), F.first("star").alias("star"), (n(dup) + copies).alias("duplicates"), F.max(has.cast("long")).alias("conflicts"), n(bad).alias("inconsistent"))
+    out = out.unionByName(single)
     winner = F.coalesce("star", "base")
     return out.select(*[F.col(f"_k_{k}").alias(k) for k in key], F.struct(*[winner[c].alias(c) for c in cols]).alias("winner"), "duplicates", "conflicts", "inconsistent")
 

@@ -80,7 +80,8 @@ def fused_counts(bars: DataFrame, by: list[str]) -> DataFrame:
     nulls = reduce(lambda a, b: a | b, [F.col(x).isNull() for x in REQUIRED])
     n = lambda x: F.count(F.when(x, 1))
     day = F.date_format(taipei_time(F.col("open_time")), "yyyy-MM-dd")
-    return bars.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), n(nulls).alias("null_rows"), n(~bar_valid()).alias("ohlc_bad"), n(F.col("date").isNotNull() & (F.col("date") != day)).alias("date_bad"), n(~aligned()).alias("misaligned"), n(~close_fits()).alias("close_bad"), F.min("date").alias("date_min"), F.max("date").alias("date_max"))
+    day_number = F.col("date").try_cast("date")  # a number underneath, so the aggregation stays hashed
+    return bars.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), n(nulls).alias("null_rows"), n(~bar_valid()).alias("ohlc_bad"), n(F.col("date").isNotNull() & (F.col("date") != day)).alias("date_bad"), n(~aligned()).alias("misaligned"), n(~close_fits()).alias("close_bad"), F.min(day_number).cast("string").alias("date_min"), F.max(day_number).cast("string").alias("date_max"))
 
 
 def null_counts(bars: DataFrame, columns: list[str]) -> DataFrame:

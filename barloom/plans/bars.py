@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import with_calendar
+from barloom.functions.calendar import taipei_time, with_calendar
 from barloom.functions.identity import SQL_KEYED, unit_factor, with_identity
 from barloom.intervals import INTERVALS
 from barloom.operators import catalog as C
@@ -62,7 +62,9 @@ def calendar_fields(spark, d):
 
 @query(f"""WITH {SQL_BARS} SELECT symbol, interval, min(date) AS first_date, max(date) AS last_date, count(*) AS bars FROM bars GROUP BY ALL""")
 def coverage_by_symbol(spark, d):
-    return bars(spark, d).groupBy("symbol", "interval").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("bars"))
+    ends = bars(spark, d).groupBy("symbol", "interval").agg(F.min("open_time").alias("a"), F.max("open_time").alias("b"), F.count(F.lit(1)).alias("bars"))
+    day = lambda c: F.date_format(taipei_time(F.col(c)), "yyyy-MM-dd")
+    return ends.select("symbol", "interval", day("a").alias("first_date"), day("b").alias("last_date"), "bars")  # numbers are aggregated, texts made after
 
 
 @query(f"""WITH {SQL_BARS} SELECT row_id, open_time, interval FROM bars WHERE symbol = 'NOVUSDV' ORDER BY open_time DESC, row_id DESC LIMIT 20""")
@@ -152,10 +154,10 @@ def manifest_summary(spark, d):
     """Totals of a materialised dataset; its scope is full when its symbols are those of the universe."""
     from barloom.functions.identity import canonical_symbol
 
-    per = bars(spark, d).groupBy("interval", "symbol").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("a"), F.max("date").alias("b"), F.min("year").alias("y"), F.max("year").alias("z"))
+    per = bars(spark, d).groupBy("interval", "symbol").agg(F.count(F.lit(1)).alias("n"), F.min(F.to_date("date")).alias("a"), F.max(F.to_date("date")).alias("b"), F.min("year").alias("y"), F.max("year").alias("z"))
     known = _t(spark, d, "universe_metadata").select(canonical_symbol(F.col("symbol")).alias("symbol")).distinct().withColumn("hit", F.lit(1))
     total = known.count()
-    g = per.join(known, "symbol", "left").groupBy("interval").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("symbols"), F.min("a").alias("date_min"), F.max("b").alias("date_max"), F.min("y").alias("year_min"), F.max("z").alias("year_max"), F.count("hit").alias("_hits"))
+    g = per.join(known, "symbol", "left").groupBy("interval").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("symbols"), F.min("a").cast("string").alias("date_min"), F.max("b").cast("string").alias("date_max"), F.min("y").alias("year_min"), F.max("z").alias("year_max"), F.count("hit").alias("_hits"))
     full = (F.col("symbols") == total) & (F.col("_hits") == F.col("symbols"))
     return g.withColumn("scope", F.when(full, "FULL_OUTPUT").otherwise("SAMPLE_OUTPUT")).drop("_hits")
 

@@ -1,6 +1,8 @@
 import json
 
 from barloom import cli
+from barloom.operators.validation import dataset_checks
+from barloom.sources import lake
 from tests.test_sources import HEAD, T0, M, line, put_zip
 
 
@@ -14,7 +16,15 @@ def test_archives_to_dataset(spark, tmp_path, capsys):
     seed, cur = str(tmp_path / "seed"), str(tmp_path / "cur")
     say = lambda *a: (cli.main(list(a)), json.loads(capsys.readouterr().out or "null"))
     code, out = say("materialize", "--interval", "1m", "--files", str(tmp_path / "files.jsonl"), "--raw", str(raw), "--out", seed)
-    assert code == 0 and out == {"bars": 3, "duplicates": 1, "conflicts": 1, "inconsistent": 0, "quarantined": 1}
+    assert code == 0 and (out["row_count"], out["files"], out["duplicates"], out["conflicts"], out["inconsistent"], out["quarantined"], out["ohlc_bad"]) == (2, 1, 1, 1, 0, 1, 1)
+    again = ("materialize", "--interval", "1m", "--files", str(tmp_path / "files.jsonl"), "--raw", str(raw), "--out", seed)
+    assert say(*again, "--strict")[0] == 1
+    assert say(*again, "--resume")[1]["symbols"] == 0
+    manifest = json.loads(next((tmp_path / "seed" / "manifests").glob("*.json")).read_text())
+    checks = dataset_checks(spark, lake.read_bars(spark, seed, current=False), lake.list_files(spark, seed), manifest, "d").collect()
+    assert len(checks) == 13 and {c.status for c in checks} == {"passed"}
+    wrong = dataset_checks(spark, lake.read_bars(spark, seed, current=False), lake.list_files(spark, seed), manifest | {"row_count": 9, "scope": "SAMPLE_OUTPUT"}, "d")
+    assert {c.rule_id: c.status for c in wrong.where("status <> 'passed'").collect()} == {"PQ-ROW-COUNT-MATCH": "failed", "PQ-OUTPUT-SCOPE": "warning"}
     assert say("validate", "--root", seed)[0] == 0
     assert say("init-current", "--seed", seed, "--root", cur)[1]["status"] == "initialized"
     code, out = say("continuity", "--root", cur, "--now-ms", str(T0 + 10 * M))
