@@ -18,6 +18,18 @@ def test_archive(spark):
     assert [r[0] for r in df.orderBy("i").select(canonical_archive(F.col("a"), F.col("c"))).collect()] == want
 
 
+def test_against_the_patterns(spark):
+    from barloom.functions.identity import BLANK, NOISE
+
+    odd = ["a/b", "abc", "x.zip.zip", "d.zip/e.zip", "\u2003n\u00a0o\u3000v ", "a\\b.zip", "/", ".zip", "é-ß/\x1f", "\ufeffx\u2011y", "zip", "a.zip "]
+    df = spark.createDataFrame([(i, o) for i, o in enumerate(odd)], "i int, s string").orderBy("i")
+    noise = F.regexp_replace(F.upper("s"), NOISE, "")
+    trim = F.lower(F.regexp_replace("s", f"^{BLANK}+|{BLANK}+$", ""))
+    zipped = F.regexp_extract(trim, r"([^/\\]*?\.zip)", 1)
+    want = df.select(F.nullif(noise, F.lit("")), F.when(zipped != "", zipped).when(trim != "", trim)).collect()
+    assert df.select(canonical_symbol(F.col("s")), canonical_archive(F.col("s"), F.lit(None).cast("string"))).collect() == want
+
+
 def test_instant_and_slot(spark):
     t = 1_393_633_200_000
     df = spark.createDataFrame([(0, t // 1000), (1, t), (2, t * 1000), (3, t * 1_000_000), (4, None), (5, -1), (6, 9_223_372_036_854_775_807)], "i int, t long")
