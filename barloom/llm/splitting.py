@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,41 +11,78 @@ from pyspark.sql import functions as F
 
 from barloom.llm.tokens import RANKS, Tokenizer, tokenizer
 
-#: Kinds of natural boundaries from the strongest; the cut lies after the match. Any other place between two characters is weaker than all of them.
-BOUNDARIES = [
-    r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)\s*",  # between paragraphs
-    r"\r\n|\r|\n",  # between lines
-    r"[.!?…][\"')\]]*\s+|[。！？]",  # between sentences
-    r"[,;:]\s+|[，；：、]",  # between clauses
-    r"\s+",  # between words
-]
-_COMPILED = [re.compile(p) for p in BOUNDARIES]
+# Strengths of natural boundaries; the cut lies after the white space or the mark. Any other place between two characters is weaker than all of them.
+PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD = 5, 4, 3, 2, 1
+# Marks that end a sentence or a clause before white space, what may close a quotation between, and marks of wide scripts that end one by themselves.
+ENDS, PAUSES, CLOSERS, WIDE_ENDS, WIDE_PAUSES = ".!?…", ",;:", "\"')]", "。！？", "，；：、"
+
+
 #: Tokens a piece may gain when it is counted by itself, since its ends can cut a word.
 SLACK = 4
 
 
+def boundaries(text: str) -> np.ndarray:
+    """The strength of the boundary before each character, and after the last; 0 at both ends and where there is none.
+
+    A run of white space gives one at its end: a paragraph's with two line breaks in it, else by what stands before it; and after each line break in it a line's."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(c)
+    one_of = lambda x, chars: np.isin(x, [ord(k) for k in chars])
+    white = (c == 32) | ((c >= 9) & (c <= 13)) | ((c >= 28) & (c <= 31)) | (c == 0x85) | (c == 0xA0) | (c == 0x1680) | ((c >= 0x2000) & (c <= 0x200A)) | (c == 0x2028) | (c == 0x2029) | (c == 0x202F) | (c == 0x205F) | (c == 0x3000)
+    strength = np.zeros(n + 1, np.int8)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], white, [False]]).astype(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    strength[end] = WORD
+    at = start - 1  # the character before each run, quotations' closers skipped
+    for _ in range(3):
+        ok = at >= 0
+        at = np.where(ok & one_of(c[np.maximum(at, 0)], CLOSERS), at - 1, at)
+    before, plain = c[np.maximum(at, 0)], c[np.maximum(start - 1, 0)]
+    strength[end[(start > 0) & one_of(plain, PAUSES)]] = CLAUSE
+    strength[end[(at >= 0) & one_of(before, ENDS)]] = SENTENCE
+    for chars, rank in ((WIDE_PAUSES, CLAUSE), (WIDE_ENDS, SENTENCE)):
+        i = np.flatnonzero(one_of(c, chars)) + 1
+        strength[i] = np.maximum(strength[i], rank)
+    breaks = (c == 10) | ((c == 13) & (np.append(c[1:], 0) != 10))
+    i = np.flatnonzero(breaks) + 1
+    strength[i] = LINE
+    lines = np.concatenate([[0], np.cumsum(breaks)])
+    strength[end[lines[end] - lines[start] >= 2]] = PARAGRAPH
+    strength[[0, n]] = 0
+    return strength
+
+
 class _Text:
     """A text with the number of its tokens before any character, and its natural boundaries."""
 
-    def __init__(self, text: str, t: Tokenizer):
+    def __init__(self, text: str, t: Tokenizer, ids: list[int] | None = None):
         self.text, self.t = text, t
         raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
         starts = np.flatnonzero((raw & 0xC0) != 0x80)
-        self.ends = t.ends(text)
+        ended = np.zeros(len(raw) + 1, np.int8)
+        ended[t.ends(text, ids)] = 1
         #: before[i]: tokens that end at or before character i.
-        self.before = np.searchsorted(self.ends, np.append(starts, len(raw)), "right")
-        strength = np.zeros(len(text) + 1, np.int8)
-        for rank, p in zip(range(len(BOUNDARIES), 0, -1), _COMPILED, strict=True):
-            at = np.fromiter((m.end() for m in p.finditer(text)), np.int64)
-            if len(at):
-                strength[at] = np.maximum(strength[at], rank)
-        strength[0] = strength[len(text)] = 0
+        self.before = np.cumsum(ended, dtype=np.int64)[np.append(starts, len(raw))]
+        strength = boundaries(text)
         self.at = np.flatnonzero(strength)
         self.strength = strength[self.at]
 
     def size(self, a: int, b: int) -> int:
         return int(self.before[b] - self.before[a])
 
+    def count(self, a: int, b: int) -> int:
+        """Tokens of the characters from a to b by themselves. Before a single space between two words the pattern splits whatever stands around it, so between the first and the last such place the tokens are those of the whole text, and only the ends are encoded anew."""
+        text = self.text
+        f = text.find(" ", a + 1, b - 1)
+        while f > 0 and (text[f - 1].isspace() or text[f + 1].isspace()):
+            f = text.find(" ", f + 1, b - 1)
+        if f > 0:
+            g = text.rfind(" ", f, b - 1)
+            while g > f and (text[g - 1].isspace() or text[g + 1].isspace()):
+                g = text.rfind(" ", f, g)
+            return self.t.count(text[a:f]) + self.size(f, g) + self.t.count(text[g:b])
+        return self.t.count(text[a:b])
+
     def char_at(self, tokens: int) -> int:
         """The last character position with at most so many tokens before it."""
         return int(np.searchsorted(self.before, tokens, "right")) - 1
@@ -64,9 +100,9 @@ class _Text:
         return min(max(self.char_at(int(mid)), a + 1), b - 1)
 
 
-def pieces(text: str, t: Tokenizer, limit: int, overlap: int) -> list[tuple[int, int, int, int]]:
-    """(start, core start, end, tokens) in characters of the pieces of a text with more than limit tokens. Cores follow each other without a gap; a piece begins overlap tokens before its core, at the nearest character at or before that token. Every piece, counted by itself, has at most limit tokens; only a single character of more than limit tokens is left as it is."""
-    x = _Text(text, t)
+def pieces(text: str, t: Tokenizer, limit: int, overlap: int, ids: list[int] | None = None) -> list[tuple[int, int, int, int]]:
+    """(start, core start, end, tokens) in characters of the pieces of a text with more than limit tokens. Cores follow each other without a gap; a piece begins overlap tokens before its core, at the nearest character at or before that token. ids: the text's tokens, if they are known. Every piece, counted by itself, has at most limit tokens; only a single character of more than limit tokens is left as it is."""
+    x = _Text(text, t, ids)
     most = max(1, limit - overlap - (SLACK if limit - overlap > 2 * SLACK else 0))
     todo, out = [(0, len(text))], []
     while todo:
@@ -77,21 +113,21 @@ def pieces(text: str, t: Tokenizer, limit: int, overlap: int) -> list[tuple[int,
             continue
         start = x.char_at(int(x.before[a]) - overlap) if a and overlap else a
         start = max(0, min(start, a))
-        n = t.count(text[start:b])
+        n = x.count(start, b)
         if n > limit and b - a > 1:
             c = x.cut(a, b)
             todo += [(c, b), (a, c)]
             continue
         while n > limit and start < a:  # one wide character: the overlap gives way
             start += 1
-            n = t.count(text[start:b])
+            n = x.count(start, b)
         out.append((start, a, b, n))
     return out
 
 
-def full_pieces(text: str, t: Tokenizer, limit: int, overlap: int = 0) -> list[tuple[int, int, int, int]]:
+def full_pieces(text: str, t: Tokenizer, limit: int, overlap: int = 0, ids: list[int] | None = None) -> list[tuple[int, int, int, int]]:
     """As pieces(), without overlap and for filling containers: each piece but the last ends at the strongest boundary in the last eighth of the limit, of equals the latest, or without any between two tokens, so little of the limit is left over."""
-    x = _Text(text, t)
+    x = _Text(text, t, ids)
     a, out = 0, []
     while a < len(text):
         lo, room = int(x.before[a]), limit
@@ -102,7 +138,7 @@ def full_pieces(text: str, t: Tokenizer, limit: int, overlap: int = 0) -> list[t
                 if j > i:
                     s = x.strength[i:j]
                     b = int(x.at[i + np.flatnonzero(s == s.max())[-1]])
-            n = t.count(text[a:b])
+            n = x.count(a, b)
             if n <= limit or b == a + 1:
                 break
             room = max(1, room - max(1, n - limit))
@@ -117,7 +153,7 @@ SHAPE = "doc_id long, piece_no int, start_char long, core_char long, end_char lo
 def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, keep_short: bool = False, with_text: bool = True, cut: Callable = pieces) -> DataFrame:
     """The pieces of each text with more than limit tokens, in order: doc_id, piece_no from 0, start_char (with the overlap), core_char (without), end_char, n_tokens of the piece, text_tokens of the whole text, and the piece itself. overlap must be less than limit.
 
-    docs: (doc_id, text); other columns are ignored. Texts within the limit give no row, or one whole piece if keep_short. Null and empty texts have no tokens and give no row. Repeated rows are cut each for itself. A text without any natural place is cut between tokens, never inside a character. No text has more tokens than bytes, so texts of at most limit bytes need not be encoded to know that they fit. with_text=False leaves piece null. cut: the function of (text, tokenizer, limit, overlap) that cuts.
+    docs: (doc_id, text); other columns are ignored. Texts within the limit give no row, or one whole piece if keep_short. Null and empty texts have no tokens and give no row. Repeated rows are cut each for itself. A text without any natural place is cut between tokens, never inside a character. No text has more tokens than bytes, so texts of at most limit bytes need not be encoded to know that they fit. with_text=False leaves piece null. cut: the function of (text, tokenizer, limit, overlap, token ids) that cuts.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
@@ -129,9 +165,10 @@ def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, ke
             rows: list[tuple] = []
             held = 0
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                n = t.count(text)
+                ids = t.ids(text)
+                n = len(ids)
                 if n > limit:
-                    rows += [(doc, i, s, c, e, k, n, text[s:e] if with_text else None) for i, (s, c, e, k) in enumerate(cut(text, t, limit, overlap))]
+                    rows += [(doc, i, s, c, e, k, n, text[s:e] if with_text else None) for i, (s, c, e, k) in enumerate(cut(text, t, limit, overlap, ids))]
                     held += len(text)
                 elif keep_short and n:
                     rows.append((doc, 0, 0, 0, len(text), n, n, text if with_text else None))

@@ -48,9 +48,12 @@ class Tokenizer:
     def count(self, text: str | None) -> int:
         return sum(len(self.enc.encode_ordinary(x)) for x in self.stretches(text)) if text else 0
 
-    def ends(self, text: str) -> np.ndarray:
-        """Byte positions at which the tokens of the text end."""
-        ids = [i for x in self.stretches(text) for i in self.enc.encode_ordinary(x)]
+    def ids(self, text: str) -> list[int]:
+        return [i for x in self.stretches(text) for i in self.enc.encode_ordinary(x)]
+
+    def ends(self, text: str, ids: list[int] | None = None) -> np.ndarray:
+        """Byte positions at which the tokens of the text, ids if they are known, end."""
+        ids = self.ids(text) if ids is None else ids
         return np.cumsum(self.length[np.array(ids, np.int64)]) if ids else np.zeros(0, np.int64)
 
 

@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm import tokens
-from barloom.llm.splitting import full_pieces, pieces, split_long
+from barloom.llm.splitting import CLAUSE, LINE, PARAGRAPH, SENTENCE, WORD, boundaries, full_pieces, pieces, split_long
 
 LIMIT, OVERLAP = 128, 16
 
@@ -61,6 +62,17 @@ def test_cuts_at_the_strongest_boundary(tok):
     assert [text[c:e] for _, c, e, _ in got] == [left + "\n\n", right]
 
 
+def test_boundaries():
+    kinds = [(PARAGRAPH, r"(?:\r\n|\r(?!\n)|(?<!\r)\n)[ \t]*(?:\r\n|\r(?!\n)|\n)\s*"), (LINE, r"\r\n|\r|\n"), (SENTENCE, r"[.!?…][\"')\]]{0,3}\s+|[。！？]"), (CLAUSE, r"[,;:]\s+|[，；：、]"), (WORD, r"\s+")]
+    for text in [*texts().values(), 'a "b." c.\n\n  d,  e\r\n\r\nf。g\r\rh?) i!', " ", "", "\n", "x\n \n", "。", "a.')] b"]:
+        want = [0] * (len(text) + 1)
+        for rank, p in kinds:
+            for m in re.finditer(p, text):
+                want[m.end()] = max(want[m.end()], rank)
+        want[0] = want[-1] = 0
+        assert boundaries(text).tolist() == want
+
+
 def test_against_plain_recursion(tok):
     """The same cuts from a direct reading of the rule, every size counted anew from the text's tokens."""
     from barloom.llm.splitting import SLACK, _Text
