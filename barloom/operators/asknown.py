@@ -46,9 +46,9 @@ def _period(t: Column, length: int) -> Column:
 def as_known(events: DataFrame, versions: DataFrame, max_log: int = 64) -> DataFrame:
     """events (entity, time in ms, any other columns) with a column state: that of the version of the entity whose period [valid_from, valid_to) holds the time, or null.
 
-    Events without entity or time get null. Events repeat as they are given. versions of one entity should not overlap; where they do, the latest change before the event counts. Empty versions: all states are null; empty events: no rows. A column state of events is replaced.
+    Events without entity or time get null. Events repeat as they are given. versions of one entity should not overlap; where they do, the latest change before the event counts. Empty versions: all states are null; empty events: no rows. Columns of events named state or _ak_... are replaced.
     """
-    events = events.drop("state")
+    events = events.drop("state", "_ak_entity", "_ak_p", "_ak_start", "_ak_log")
     log = stored(change_log(versions), "changes")
     length = period_length(log, max_log)
     log = log.withColumn("p", _period(F.col("at"), length))
@@ -63,7 +63,8 @@ def as_known(events: DataFrame, versions: DataFrame, max_log: int = 64) -> DataF
     snaps = stored(snaps.where("at_start is not null or log is not null"), "snapshots")
     n = snaps.count()
     width = 512 if n == 0 else 128 + 64 * (1 + (snaps.agg(F.avg(F.coalesce(F.size("log"), F.lit(0)))).first()[0] or 0))
-    out = events.withColumn("_p", _period(F.col("time"), length)).join(small(snaps.select(F.col("entity").alias("_e"), F.col("p").alias("_q"), "at_start", "log"), n, int(width)), (F.col("entity") == F.col("_e")) & (F.col("_p") == F.col("_q")), "left")
-    done = F.filter(F.coalesce(F.col("log"), F.array().cast(snaps.schema["log"].dataType)), lambda c: c["at"] <= F.col("time"))
-    state = F.when(F.size(done) > 0, F.try_element_at(done, F.lit(-1))["state"]).otherwise(F.col("at_start"))
-    return out.withColumn("state", state).drop("_p", "_q", "_e", "at_start", "log")
+    side = snaps.select(F.col("entity").alias("_ak_entity"), F.col("p").alias("_ak_p"), F.col("at_start").alias("_ak_start"), F.col("log").alias("_ak_log"))
+    out = events.join(small(side, n, int(width)), (F.col("entity") == F.col("_ak_entity")) & (_period(F.col("time"), length) == F.col("_ak_p")), "left")
+    done = F.filter(F.coalesce(F.col("_ak_log"), F.array().cast(snaps.schema["log"].dataType)), lambda c: c["at"] <= F.col("time"))
+    state = F.when(F.size(done) > 0, F.try_element_at(done, F.lit(-1))["state"]).otherwise(F.col("_ak_start"))
+    return out.withColumn("state", state).drop("_ak_entity", "_ak_p", "_ak_start", "_ak_log")

@@ -84,7 +84,7 @@ def regular_grid(readings: DataFrame, slots: DataFrame, rank: int = 2, steps: in
     readings: (s, g, slot, order, value): source, group, the slot a reading lies in, a number that orders readings of one slot (the last valid one counts), and a positive value or null. slots: the promised (s, g, slot), each once.
 
     status: 'observed' where any reading lies in the slot, whatever its value; its value is exact, the last valid reading, or null if none is valid. 'filled': no reading, and the value is estimated. 'unsupported': no reading and no estimate, because fewer than two other sources have a reading in that slot or the source itself has no more than rank readings in slots that others share; value is null.
-    Values are factorised as logarithms less the source's mean. NaN, infinite, zero and negative values count as readings without value. Rows of readings with a null in s, g or slot fill no slot. Empty readings: every slot is unsupported; empty slots: no rows. Repeated readings, also exact copies, count once.
+    Values are factorised as logarithms less the source's mean. NaN, infinite, zero and negative values count as readings without value. Rows of readings with a null in s, g or slot fill no slot. Empty readings: every slot is unsupported; empty slots: no rows. Repeated readings, also exact copies, count once. Other columns of either input are ignored.
     """
     valid = F.when((F.col("value") > 0) & ~F.isnan("value") & (F.col("value") < float("inf")), F.col("value"))
     seen = readings.where("s is not null and g is not null and slot is not null").groupBy("s", "g", "slot").agg(F.count(F.lit(1)).alias("n_readings"), F.max_by(valid, F.when(valid.isNotNull(), F.col("order"))).alias("value"))
@@ -98,7 +98,7 @@ def regular_grid(readings: DataFrame, slots: DataFrame, rank: int = 2, steps: in
     cells = stored(usable.join(shared, ["g", "t"], "left_semi").join(small(means, n_sources), ["g", "s"]).select("g", "s", "t", (F.col("x") - F.col("mean")).alias("y")), "cells")
     u, v = factorise(cells, means.select("g", "s"), n_sources, rank, steps, ridge)
 
-    grid = slots.join(seen, ["s", "g", "slot"], "left")
+    grid = slots.select("s", "g", "slot").join(seen, ["s", "g", "slot"], "left")
     sources = u.where(F.col("un") > rank).join(means, ["g", "s"])
     v = v.where("vn >= 2")
     est = F.exp(F.col("mean") + sum((F.col(f"u{i}") * F.col(f"v{i}") for i in range(1, rank)), F.col("u0") * F.col("v0")))

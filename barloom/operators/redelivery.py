@@ -31,10 +31,13 @@ class Merge:
 class MessageTable:
     """root: a folder that all executors share. id_columns: the identifier; a row with a null in the first len(id_columns) - nullable of them has no identity and is passed through untouched. order_column: the winner of an identifier is the row with its smallest value, so it should be unique; rows that tie there are the same delivery stored twice, and one of them, whichever, is kept. partition: an expression for the arrival partition; null goes to partition pnone.
 
+    cluster: messages don't come in order of arrival, so rows are brought together by partition before they are written; without it a task writes a file for each partition it sees, which are few where the input is in order, and the rows aren't shuffled.
+
     Columns of the messages that start with _mt_ would clash with the table's own and are refused. The number of partitions, which the driver lists, is bounded by the time the table spans, not by its rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str, id_columns: dict[str, Column], required: list[str], order_column: str, partition: Column):
+    def __init__(self, spark: SparkSession, root: str, id_columns: dict[str, Column], required: list[str], order_column: str, partition: Column, cluster: bool = False):
+        self.cluster = cluster
         self.spark, self.files = spark, Files(spark, root)
         self.ids, self.required, self.order = id_columns, required, order_column
         self.partition = F.concat(F.lit("p"), F.coalesce(partition.cast("string"), F.lit("none")))
@@ -135,6 +138,8 @@ class MessageTable:
         if (total or 0) - n_removed != n_ids:  # rows that tie in the order column
             free, tied = kept.where(~F.col("_mt_known")), kept.where("_mt_known")
             kept = tied.dropDuplicates(ids).unionByName(free)
+        if self.cluster:
+            kept = kept.hint("rebalance", "_mt_part")
         data_at, index_at = f"{self.files.root}/data/v={version}", f"{self.files.root}/index/v={version}"
         kept.drop(*ids, "_mt_known", "_mt_hash").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_mt_part").parquet(data_at)
         new = [n.partition("=")[2] for n in self.files.names("data", f"v={version}") if n.startswith("_mt_part=")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,10 @@ from barloom.intervals import INTERVALS
 from barloom.operators import catalog as C
 from barloom.operators import conflicts, continuity, instruments, layout, quality, resample
 from barloom.schema import VALUES
+from barloom.session import work_dir
+from barloom.sources.lake import read_bars
 from barloom.streaming import ticks
+from barloom.streaming.router import Router
 
 #: The clock of the queries that need one: 2026-07-01 00:00 UTC.
 NOW_MS = 1_782_864_000_000
@@ -67,10 +72,10 @@ def coverage_by_symbol(spark, d):
     return ends.select("symbol", "interval", day("a").alias("first_date"), day("b").alias("last_date"), "bars")  # numbers are aggregated, texts made after
 
 
-@query(f"""WITH {SQL_BARS} SELECT row_id, open_time, interval FROM bars WHERE symbol = 'NOVUSDV' ORDER BY open_time DESC, row_id DESC LIMIT 20""")
+@query(f"""WITH {SQL_BARS} SELECT row_id, symbol, open_time, interval FROM bars ORDER BY open_time DESC, row_id DESC LIMIT 20""")
 def latest_bars(spark, d):
-    """The latest 20 bars of a symbol: a top-k without a full sort."""
-    return bars(spark, d).where("symbol = 'NOVUSDV'").select("row_id", "open_time", "interval").orderBy(F.desc("open_time"), F.desc("row_id")).limit(20)
+    """The latest 20 bars: a top-k without a full sort."""
+    return bars(spark, d).select("row_id", "symbol", "open_time", "interval").orderBy(F.desc("open_time"), F.desc("row_id")).limit(20)
 
 
 @query(f"""WITH {SQL_BARS} SELECT symbol, interval, max_by(row_id, row_id) AS row_id FROM bars GROUP BY ALL""")
@@ -490,3 +495,16 @@ def tick_messages(spark, d):
     m = as_messages(bars(spark, d).where("archive_source like 'live%'")).select("row_id", "payload")
     out = ticks.parse_messages(m, "websocket", F.lit(NOW_MS))
     return out.where("error is null").select("row_id", "symbol", "interval", "open_time", "high", "close_time", "quote_volume", "trade_count", "taker_buy_quote_volume", "is_closed", "payload_format")
+
+
+@query(f"""WITH {SQL_BARS}, ok AS (SELECT *, {SQL_ERRORS} AS errors FROM bars WHERE {SQL_LIVE} AND (open + high + low + close + volume + close_time + quote_volume + trade_count + taker_buy_base_volume + taker_buy_quote_volume) IS NOT NULL)
+SELECT symbol, interval, open_time, close_time, high, quote_volume, trade_count FROM (SELECT *, row_number() OVER (PARTITION BY symbol, interval, open_time ORDER BY row_id DESC) AS rn FROM ok WHERE errors = '') WHERE rn = 1""")
+def stream_merge(spark, d):
+    """Live bars as messages through a stream into the current datasets: the last received valid bar of each key."""
+    root = work_dir(spark, "stream")
+    live = as_messages(bars(spark, d).where("archive_source like 'live%'"))
+    live.select("payload", F.unix_millis(F.col("received_at").cast("timestamp")).alias("received_ms"), F.col("row_id").alias("arrival")).where("payload is not null").write.json(f"{root}/in")
+    router = Router(spark, f"{root}/out", "websocket")
+    router.run(spark.readStream.schema("payload string, received_ms long, arrival long").json(f"{root}/in")).awaitTermination()
+    out = [read_bars(spark, f"{root}/out/current/{i}") for i in INTERVALS]
+    return reduce(lambda a, b: a.unionByName(b), out).select("symbol", "interval", "open_time", "close_time", "high", "quote_volume", "trade_count")

@@ -50,10 +50,10 @@ def read_bars(spark: SparkSession, root: str, symbols: list[str] | None = None,
 
 
 def write_seed(bars: DataFrame, root: str) -> DataFrame:
-    """Writes the valid bars as symbol=/year= with one file each, sorted by open_time, over the same partitions only; returns the quarantined ones. bars: schema.BAR, single per key."""
+    """Writes the valid bars as symbol=/year=, sorted by open_time, over the same partitions only; returns the quarantined ones. bars: schema.BAR, single per key. A partition is one file unless it is larger than the advisory size, when the rebalance splits it over tasks, so a symbol with a third of all bars isn't one task's work."""
     marked = with_quarantine(with_calendar(bars.select(*BAR_COLUMNS)))
     good = marked.where(~F.col("quarantined")).select(*SEED, "symbol", "year")
-    good.repartition("symbol", "year").sortWithinPartitions("symbol", "year", "open_time").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "year").parquet(root)
+    good.hint("rebalance", "symbol", "year").sortWithinPartitions("symbol", "year", "open_time").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "year").parquet(root)
     return marked.where("quarantined")
 
 
@@ -68,7 +68,7 @@ def _current_rows(bars: DataFrame) -> DataFrame:
 
 def _write_current(rows: DataFrame, root: str, mode: str = "dynamic") -> None:
     cols = [c for c in CURRENT if c != "month"]
-    out = rows.select(*cols, "symbol", "year", "month").repartition("symbol", "year", "month").sortWithinPartitions("symbol", "year", "month", "open_time")
+    out = rows.select(*cols, "symbol", "year", "month").hint("rebalance", "symbol", "year", "month").sortWithinPartitions("symbol", "year", "month", "open_time")
     out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("symbol", "year", "month").parquet(root)
 
 

@@ -25,7 +25,7 @@ def test_against_brute_force(spark):
         versions.append((e, t, None, f"{e}open"))
     times = [x for v in versions for x in (v[1], (v[2] or v[1]) - 1, v[2] or v[1] + 5)]
     events = [(i, rnd.choice("abcdef"), rnd.choice(times)) for i in range(500)] + [(1000 + i, v[0], v[1]) for i, v in enumerate(versions)]
-    df = spark.createDataFrame(events, E).withColumn("state", F.lit("clash"))
+    df = spark.createDataFrame(events, E).withColumns({c: F.lit("clash") for c in ("state", "log", "p", "at_start", "_ak_p", "valid_from", "at")})
     got = {r.id: r.state for r in asknown.as_known(df, spark.createDataFrame(versions, V), max_log=8).collect()}
     assert got == {i: brute(versions, e, t) for i, e, t in events}
 

@@ -1,6 +1,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from barloom.operators.gridfill import promised_slots, regular_grid
 
 READ = "s string, g string, slot long, `order` long, value double"
@@ -41,7 +43,8 @@ def test_low_rank_values_come_back(spark):
 def test_statuses_and_dirt(spark):
     rows = [("a", "g", 0, 1, 2.0), ("a", "g", 0, 2, float("nan")), ("a", "g", 0, 2, float("nan")), ("a", "g", 60, 3, None), ("b", "g", 0, 4, -1.0), (None, "g", 0, 5, 1.0), ("a", "g", None, 6, 1.0), ("x", "g", 999, 7, 1.0)]
     grid = spark.createDataFrame([("a", "g", 0), ("a", "g", 60), ("a", "g", 120), ("b", "g", 0)], "s string, g string, slot long")
-    got = {(r.s, r.slot): (r.status, r.value, r.n_readings) for r in regular_grid(spark.createDataFrame(rows, READ), grid).collect()}
+    extra = {c: F.lit("clash") for c in ("status", "n_readings", "un", "t", "y", "mean")}
+    got = {(r.s, r.slot): (r.status, r.value, r.n_readings) for r in regular_grid(spark.createDataFrame(rows, READ).withColumns(extra), grid.withColumns(extra | {"value": F.lit("clash")})).collect()}
     assert got == {("a", 0): ("observed", 2.0, 3), ("a", 60): ("observed", None, 1), ("a", 120): ("unsupported", None, 0), ("b", 0): ("observed", None, 1)}
     empty = regular_grid(spark.createDataFrame([], READ), grid)
     assert {r.status for r in empty.collect()} == {"unsupported"}

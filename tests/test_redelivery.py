@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from barloom.operators.redelivery import MessageTable
 
 
-def table(spark, root):
-    return MessageTable(spark, str(root), {"k": F.lower("k"), "t": F.col("t")}, ["k", "t"], "n", F.col("day"))
+def table(spark, root, cluster=False):
+    return MessageTable(spark, str(root), {"k": F.lower("k"), "t": F.col("t")}, ["k", "t"], "n", F.col("day"), cluster)
 
 
 SHAPE = "n long, k string, t long, day string, extra string"
@@ -23,14 +23,15 @@ def winners(rows):
     return best
 
 
-def test_against_brute_force(spark, tmp_path):
+@pytest.mark.parametrize("cluster", [False, True])
+def test_against_brute_force(spark, tmp_path, cluster):
     rnd = random.Random(3)
     rows = []
     for n in range(600):  # a third of the rows are copies of one message
         k, t = ("hot", 1) if rnd.random() < 0.34 else (rnd.choice(["a", "B", "b", "c", None]), rnd.choice([*range(40), None]))
         rows.append((n, k, t, f"d{n // 100}", None))
     rnd.shuffle(rows)
-    m = table(spark, tmp_path)
+    m = table(spark, tmp_path, cluster)
     for i in range(3):
         m.merge(spark.createDataFrame(rows[i::3], SHAPE))
     best = winners(rows)
