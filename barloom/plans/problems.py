@@ -183,6 +183,9 @@ SQL_VERSIONS = """held AS (SELECT * FROM (SELECT instrument_id, server_time, nul
 known AS (SELECT instrument_id, server_time, last_value(status IGNORE NULLS) OVER w AS status, last_value(tick IGNORE NULLS) OVER w AS tick, last_value(step IGNORE NULLS) OVER w AS step, succ FROM held WINDOW w AS (PARTITION BY instrument_id ORDER BY server_time ROWS UNBOUNDED PRECEDING)),
 flagged AS (SELECT *, lag(server_time) OVER w IS NULL OR status <> lag(status) OVER w OR tick <> lag(tick) OVER w OR step <> lag(step) OVER w OR succ <> lag(succ) OVER w AS starts FROM known WINDOW w AS (PARTITION BY instrument_id ORDER BY server_time))"""
 P6_FOUND_SQL = f"""WITH {SQL_VERSIONS} SELECT instrument_id, server_time FROM flagged WHERE starts"""
+P6_HISTORY_SQL = f"""WITH {SQL_VERSIONS}, n AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY instrument_id ORDER BY server_time) AS v FROM flagged),
+p AS (SELECT instrument_id, v, min(server_time) AS valid_from, max_by(status, server_time) AS status, CAST(max_by(tick, server_time) AS VARCHAR) AS tick_size, CAST(max_by(step, server_time) AS VARCHAR) AS step_size, nullif(max_by(succ, server_time), '') AS successor_id FROM n GROUP BY ALL)
+SELECT instrument_id, valid_from, lead(valid_from) OVER (PARTITION BY instrument_id ORDER BY valid_from) AS valid_to, status, tick_size, step_size, successor_id FROM p"""
 
 QUERIES = {"p1_found": p1_found, "p1_kept": p1_kept, "p2_found": p2_found, "p2_grid": p2_grid, "p4_found": p4_found, "p4_flags": p4_flags, "p5_found": p5_found, "p5_joined": p5_joined, "p6_found": p6_found, "p6_history": p6_history}
-SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_joined": P5_JOINED_SQL, "p6_found": P6_FOUND_SQL}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_kept": P1_KEPT_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_joined": P5_JOINED_SQL, "p6_found": P6_FOUND_SQL, "p6_history": P6_HISTORY_SQL}

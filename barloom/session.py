@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Above so many bytes nothing is broadcast by hint.
 BROADCAST_BYTES = 24 << 20
+_made: list[str] = []
 
 
 def session(app: str = "barloom", cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -37,6 +40,7 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="barloom-")
+        atexit.register(shutil.rmtree, root, True)
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -44,8 +48,19 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, what: str) -> str:
-    """A new folder in the shared one."""
-    return f"{shared_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+    """A new folder in the shared one. release() deletes it with all others of this process."""
+    path = f"{shared_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession, keep: list[str] | None = None) -> int:
+    """Deletes the working folders that this process made, but for those in keep; how many. To be called when the results that read them are written."""
+    gone = [p for p in _made if p not in (keep or [])]
+    for p in gone:
+        drop_path(spark, p)
+        _made.remove(p)
+    return len(gone)
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

@@ -72,3 +72,15 @@ def test_second_writer_fails(spark, tmp_path):
     m = table(spark, tmp_path)
     m.merge(spark.createDataFrame([(1, "a", 1, "d", "x")], SHAPE))
     assert not m.files.write_new("{}", "_manifest", "00000001.json")
+
+
+def test_work_folders_are_released(spark):
+    from barloom.session import release, stored, work_dir
+    from barloom.storage import Files
+
+    release(spark)
+    keep = work_dir(spark, "x")
+    df = stored(spark.range(3), "t")
+    folder = df.inputFiles()[0].rpartition("/")[0]
+    assert df.count() == 3 and release(spark, [keep]) == 1 and not Files(spark, folder).exists("")
+    assert release(spark) == 1
