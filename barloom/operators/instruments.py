@@ -152,3 +152,48 @@ def normalize_snapshot(snapshot: DataFrame, exchange: str, prefix: str) -> DataF
 def tradable_symbols(snapshot: DataFrame, quote: str) -> DataFrame:
     """Symbols of a snapshot that trade as perpetuals in a quote asset, in order."""
     return snapshot.select(F.explode("symbols").alias("s")).where((F.col("s.status") == "TRADING") & (F.col("s.contractType") == "PERPETUAL") & (F.col("s.quoteAsset") == quote)).select("s.symbol").distinct().orderBy("symbol")
+
+
+RECORDS = "instrument_id string, symbol string, exchange string, base_asset string, quote_asset string, market_type string, contract_type string, status string, listed_at string, delisted_at string, successor_id string, tick_size string, step_size string, contract_size string"
+
+
+def read_records(spark, path: str) -> DataFrame:
+    """Instrument records with record (their position) and ingestion_time from a JSON file: an object with records, or a bare array. Raises ValueError for anything else."""
+    import json
+
+    text = spark.read.text(path, wholetext=True).first()
+    try:
+        value = json.loads(text[0]) if text else None
+    except ValueError as e:
+        raise ValueError(f"{path} is not JSON: {e}") from e
+    rows = value.get("records") if isinstance(value, dict) else value
+    if not isinstance(rows, list) or not all(isinstance(r, dict) for r in rows):
+        raise ValueError(f"{path} holds no array of records")
+    names = [f.strip().split()[0] for f in RECORDS.split(",")]
+    said = value.get("ingestion_time") if isinstance(value, dict) else None
+    show = lambda x: None if x is None else x if isinstance(x, str) else json.dumps(x)
+    return spark.createDataFrame([(i, said, *[show(r.get(n)) for n in names]) for i, r in enumerate(rows)], "record long, ingestion_time string, " + RECORDS)
+
+
+def universe_verdicts(records: DataFrame) -> DataFrame:
+    """(rule_id, failures, status) of all rules about a set of records (as read_records() gives them)."""
+    from barloom.report import as_checks, verdicts
+
+    each = record_rules(records, "record", iso_millis(F.col("ingestion_time"))).select("rule_id", F.col("id").cast("string").alias("what"), "field", "reason")
+    one = lambda df, rule, what, field, reason: df.select(F.lit(rule).alias("rule_id"), F.col(what).cast("string").alias("what"), F.lit(field).alias("field"), (F.col(reason) if reason in df.columns else F.lit(reason)).alias("reason"))
+    ends = successor_ends(records)
+    last = records.select(F.col("instrument_id").alias("_l"), F.col("status").alias("_s")).distinct()
+    lost = ends.join(last, F.col("last_id") == F.col("_l"), "left").where("cycle or _s not in ('active', 'delisted')").withColumn("reason", F.when(F.col("cycle"), "successor graph cycle").otherwise("successor chain must end at an active or delisted record"))
+    parts = [
+        each,
+        one(uniqueness(records, "record"), "UM-Q2", "record", "instrument_id", "kind"),
+        one(missing_successors(records), "UM-Q6", "instrument_id", "successor_id", "reason"),
+        one(lost, "UM-Q6", "instrument_id", "successor_id", "reason"),
+        one(era_overlaps(records, "record"), "UM-PIT", "record", "listed_at", "eras overlap"),
+        one(rename_breaks(records), "UM-PIT", "instrument_id", "successor_id", "a renamed record's successor must begin when it ends"),
+    ]
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    checks = as_checks(found, F.col("rule_id"), F.col("reason"), F.col("field"), F.col("what"), "universe_metadata")
+    return verdicts(checks, ["UM-Q1", "UM-Q2", "UM-Q3", "UM-Q4", "UM-Q5", "UM-Q6", "UM-PIT"])

@@ -33,6 +33,11 @@ def audit(files: DataFrame) -> DataFrame:
     return out.withColumn("mixed", (F.col("year_only_files") > 0) & (F.col("year_month_files") > 0))
 
 
+def year_only(files: DataFrame) -> DataFrame:
+    """The files (symbol, path) that lie in year partitions without a month, what a migration would rewrite."""
+    return files.where("symbol is not null").where(~has_month(F.col("path")) & F.col("path").rlike(r"/year=[^/]*/"))
+
+
 def precheck(rows: DataFrame) -> DataFrame:
     """A row a symbol over rows (symbol, path, open_time): status, files of each kind, row_count, duplicates, partitions wanted, min and max open_time.
 

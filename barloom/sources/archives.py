@@ -241,3 +241,60 @@ def split_symbols(text: str) -> list[str]:
         words = re.split(r"[,\s]+", "\n".join(line.partition("#")[0] for line in text.splitlines()))
     out = list(dict.fromkeys(w.strip().upper() for w in words if w.strip()))
     return ["all"] if out == ["ALL"] else out
+
+
+def archive_symbols(monthly: DataFrame, daily: DataFrame, limit: int = 0) -> DataFrame:
+    """The symbols of two listings of folders (key like .../SYMBOL/), each once, in order; the first `limit` if given."""
+    name = F.regexp_extract("key", r"([^/]+)/$", 1).alias("symbol")
+    out = monthly.select(name).union(daily.select(name)).where("symbol <> ''").distinct().orderBy("symbol")
+    return out.limit(limit) if limit else out
+
+
+def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
+    """Fetches the archives of catalog records and their checksums in parallel; returns the records with download_status, checksum_status, file_size and retry_count.
+
+    A record decided as skip is skipped_covered_by_monthly; an archive whose file is there and fits its checksum is not fetched again (skipped_existing_verified). Files are put in place by a rename after the checksum held, so a task that runs twice does no harm. A missing archive or checksum, and one that doesn't fit, are statuses, not errors."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+        import os
+
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                z, c = r.local_zip_path, r.local_checksum_path
+                if r.download_decision == "skip":
+                    rows.append(("skipped_covered_by_monthly", "not_attempted", None, 0))
+                    continue
+                if os.path.exists(z) and os.path.exists(c):
+                    with open(z, "rb") as f, open(c) as g:
+                        words = g.read().split()
+                        if words and hashlib.file_digest(f, "sha256").hexdigest() == words[0].lower():
+                            rows.append(("skipped_existing_verified", "skipped_existing_verified", os.path.getsize(z), 0))
+                            continue
+                tries = [0]
+                status = "missing_zip"
+                try:
+                    pause = lambda s: (tries.__setitem__(0, tries[0] + 1), time.sleep(s))  # noqa: E731,B023
+                    data = http_get(f"{base.rstrip('/')}/{urllib.parse.quote(r.source_path)}", retries=retries, sleep=pause)
+                    status = "missing_checksum"
+                    text = http_get(f"{base.rstrip('/')}/{urllib.parse.quote(r.source_checksum_path)}", retries=retries, sleep=pause).decode()
+                    if (text.split() or [""])[0].lower() != hashlib.sha256(data).hexdigest():
+                        rows.append(("failed", "failed", len(data), tries[0]))
+                        continue
+                    for path, content in ((z, data), (c, text.encode())):
+                        os.makedirs(os.path.dirname(path), exist_ok=True)
+                        with open(f"{path}.{os.getpid()}.tmp", "wb") as f:
+                            f.write(content)
+                        os.replace(f.name, path)
+                    rows.append(("downloaded", "passed", len(data), tries[0]))
+                except FileNotFoundError:
+                    rows.append(("failed", status, None, tries[0]))
+                except TransientError:
+                    rows.append(("failed", "download_failed", None, tries[0]))
+            out = pd.DataFrame(rows, columns=["download_status", "checksum_status", "file_size", "retry_count"], index=b.index).astype({"file_size": "Int64"})
+            yield pd.concat([b, out], axis=1)
+
+    rows = records.drop("download_status", "checksum_status", "file_size", "retry_count")
+    shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", download_status string, checksum_status string, file_size long, retry_count int"
+    return rows.repartition(F.col("source_path")).mapInPandas(run, shape)

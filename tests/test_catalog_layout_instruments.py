@@ -104,3 +104,26 @@ def test_report(spark):
     assert report.counters(checks).first().has_failures and not report.counters(checks.limit(0)).first().has_failures
     reg = spark.createDataFrame([("a", ["b", "c"]), ("b", [])], "dataset_id string, upstreams array<string>")
     assert [tuple(r) for r in report.missing_upstreams(reg).collect()] == [("a", "c")]
+
+
+@pytest.mark.parametrize(("change", "rule"), [({}, None), ({"instrument_id": "a"}, "UM-Q2"), ({"status": "active", "delisted_at": "2024-06-01T00:00:00Z"}, "UM-Q3"), ({"status": "delisted", "delisted_at": "2019-01-01T00:00:00Z"}, "UM-Q4"), ({"contract_size": "0"}, "UM-Q5"), ({"status": "merged", "delisted_at": "2024-06-01T00:00:00Z", "successor_id": "lost"}, "UM-Q6"), ({"symbol": "SA"}, "UM-PIT")])
+def test_universe_file(spark, tmp_path, change, rule):
+    rec = lambda n, **o: {"instrument_id": n, "symbol": f"S{n.upper()}", "exchange": "x", "base_asset": "B", "quote_asset": "Q", "market_type": "perpetual", "contract_type": "linear", "status": "active", "listed_at": "2024-01-01T00:00:00Z", "delisted_at": None, "successor_id": None, "tick_size": "0.1", "step_size": "1", "contract_size": "1"} | o
+    b = rec("b") | change
+    if rule == "UM-PIT":
+        b |= {"listed_at": "2023-01-01T00:00:00Z", "status": "delisted", "delisted_at": "2024-03-01T00:00:00Z"}
+    (tmp_path / "u.json").write_text(json.dumps({"ingestion_time": "2025-01-01T00:00:00Z", "records": [rec("a"), b]}))
+    got = {r.rule_id: r.status for r in instruments.universe_verdicts(instruments.read_records(spark, str(tmp_path / "u.json"))).collect()}
+    assert len(got) == 7 and {k for k, v in got.items() if v == "failed"} - ({"UM-Q2"} if rule == "UM-PIT" else set()) == ({rule} if rule else set()) or (rule == "UM-Q2" and got["UM-Q2"] == "failed")
+
+
+def test_universe_file_shapes(spark, tmp_path):
+    (tmp_path / "bare.json").write_text('[{"instrument_id": "a", "tick_size": 0.5}]')
+    r = instruments.read_records(spark, str(tmp_path / "bare.json")).first()
+    assert (r.record, r.instrument_id, r.tick_size, r.symbol) == (0, "a", "0.5", None)
+    for text in ("{", "3", '{"x": 1}'):
+        (tmp_path / "bad.json").write_text(text)
+        with pytest.raises(ValueError):
+            instruments.read_records(spark, str(tmp_path / "bad.json"))
+    files = spark.createDataFrame([("A", "r/symbol=A/year=1/p"), ("A", "r/symbol=A/year=1/month=01/p"), (None, "r/symbol=A.__b/year=1/p")], "symbol string, path string")
+    assert [r.path for r in layout.year_only(files).collect()] == ["r/symbol=A/year=1/p"]

@@ -105,6 +105,36 @@ def test_rest_errors():
         archives.http_get("http://h", retries=1, opener=refuse(500, 500), sleep=naps.append)
 
 
+def test_download(spark, tmp_path):
+    put_zip(tmp_path / "good.zip", "x")
+    blobs = {"/k/good.zip": (tmp_path / "good.zip").read_bytes(), "/k/bad.zip": b"zzz"}
+    blobs["/k/good.zip.CHECKSUM"] = hashlib.sha256(blobs["/k/good.zip"]).hexdigest().encode() + b"  good.zip"
+    blobs["/k/bad.zip.CHECKSUM"] = b"00  bad.zip"
+    blobs["/k/alone.zip"] = b"a"
+
+    class H(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            data = blobs.get(self.path)
+            self.send_response(200 if data is not None else 404)
+            self.end_headers()
+            self.wfile.write(data or b"")
+
+        def log_message(self, *_):
+            pass
+
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), H)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    rows = [(f"k/{n}.zip", f"k/{n}.zip.CHECKSUM", str(tmp_path / "raw" / f"{n}.zip"), str(tmp_path / "raw" / f"{n}.zip.CHECKSUM"), d) for n, d in (("good", "download"), ("bad", "download"), ("alone", "download"), ("none", "download"), ("covered", "skip"))]
+    df = spark.createDataFrame(rows, "source_path string, source_checksum_path string, local_zip_path string, local_checksum_path string, download_decision string")
+    run = lambda: {r.source_path[2:-4]: (r.download_status, r.checksum_status) for r in archives.download(df, f"http://127.0.0.1:{s.server_port}").collect()}
+    first = run()
+    assert first == {"good": ("downloaded", "passed"), "bad": ("failed", "failed"), "alone": ("failed", "missing_checksum"), "none": ("failed", "missing_zip"), "covered": ("skipped_covered_by_monthly", "not_attempted")}
+    assert run()["good"] == ("skipped_existing_verified", "skipped_existing_verified") and sorted(p.name for p in (tmp_path / "raw").iterdir()) == ["good.zip", "good.zip.CHECKSUM"]
+    s.shutdown()
+    folders = spark.createDataFrame([("d/B/",), ("d/A/",), ("d/x.zip",)], "key string")
+    assert [r[0] for r in archives.archive_symbols(folders, folders.limit(1)).collect()] == ["A", "B"] and archives.archive_symbols(folders, folders, 1).count() == 1
+
+
 @pytest.fixture
 def server():
     class H(http.server.BaseHTTPRequestHandler):
