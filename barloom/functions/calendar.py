@@ -13,6 +13,12 @@ def utc_time(ms: Column) -> Column:
     return F.timestamp_add("MILLISECOND", ms, F.expr(EPOCH))
 
 
+def millis_of(t: Column) -> Column:
+    """Epoch ms of a time without zone, read as UTC whatever the session's zone; rounds down."""
+    us = F.timestamp_diff("MICROSECOND", F.expr(EPOCH), t.cast("timestamp_ntz"))
+    return F.call_function("div", us - F.pmod(us, F.lit(1000)), F.lit(1000))
+
+
 def taipei_time(ms: Column) -> Column:
     return utc_time(ms) + F.expr("interval 8 hours")
 

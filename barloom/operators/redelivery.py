@@ -96,7 +96,7 @@ class MessageTable:
         return df.withColumns({f"_mt_{n}": c for n, c in self.ids.items()})
 
     def merge(self, incoming: DataFrame) -> Merge:
-        """Takes in a batch. An empty one makes a version in which nothing changed. A null in a column that is no identifier, or in the partition, changes nothing about identity; columns that a batch lacks or adds are null for the other rows."""
+        """Takes in a batch, which is read several times and must be the same each time: a table, not a sample or a clock. An empty one makes a version in which nothing changed. A null in a column that is no identifier, or in the partition, changes nothing about identity; columns that a batch lacks or adds are null for the other rows."""
         if bad := [c for c in incoming.columns if c.startswith("_mt_")]:
             raise ValueError(f"columns reserved for the table: {bad}")
         now = self._manifest()

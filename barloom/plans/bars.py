@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import taipei_time, with_calendar
+from barloom.functions.calendar import millis_of, taipei_time, with_calendar
 from barloom.functions.identity import SQL_KEYED, unit_factor, with_identity
 from barloom.intervals import INTERVALS
 from barloom.operators import catalog as C
@@ -255,7 +255,7 @@ def backfill_plan(spark, d):
 SELECT symbol, interval, last_message_ms, ms * 3 AS threshold_ms FROM w LEFT JOIN s USING (symbol, interval) WHERE last_message_ms IS NULL OR {NOW_MS} - last_message_ms > ms * 3""")
 def stale_streams(spark, d):
     b = bars(spark, d)
-    at = F.unix_millis(F.col("received_at").cast("timestamp"))
+    at = millis_of(F.col("received_at"))
     return continuity.stale_streams(b, b.where("archive_source = 'live_websocket'").select("symbol", "interval", at.alias("message_ms")), NOW_MS)
 
 
@@ -460,7 +460,7 @@ def _ticks_query(interval: str):
     ms = INTERVALS[interval][0]
 
     def run(spark, d):
-        e = _t(spark, d, "events").select(F.col("event_type").alias("symbol"), F.call_function("div", F.unix_micros(F.col("ts").cast("timestamp")), F.lit(1000)).alias("time_ms"), F.col("event_id").alias("seq"), F.col("value").alias("price"), F.col("value").cast("decimal(18,4)").alias("size"))
+        e = _t(spark, d, "events").select(F.col("event_type").alias("symbol"), millis_of(F.col("ts")).alias("time_ms"), F.col("event_id").alias("seq"), F.col("value").alias("price"), F.col("value").cast("decimal(18,4)").alias("size"))
         out = resample.bars_from_ticks(e, interval)
         return out.withColumn("volume", F.col("volume").cast("double"))
 
@@ -503,7 +503,7 @@ def stream_merge(spark, d):
     """Live bars as messages through a stream into the current datasets: the last received valid bar of each key."""
     root = work_dir(spark, "stream")
     live = as_messages(bars(spark, d).where("archive_source like 'live%'"))
-    live.select("payload", F.unix_millis(F.col("received_at").cast("timestamp")).alias("received_ms"), F.col("row_id").alias("arrival")).where("payload is not null").write.json(f"{root}/in")
+    live.select("payload", millis_of(F.col("received_at")).alias("received_ms"), F.col("row_id").alias("arrival")).where("payload is not null").write.json(f"{root}/in")
     router = Router(spark, f"{root}/out", "websocket")
     router.run(spark.readStream.schema("payload string, received_ms long, arrival long").json(f"{root}/in")).awaitTermination()
     out = [read_bars(spark, f"{root}/out/current/{i}") for i in INTERVALS]

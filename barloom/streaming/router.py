@@ -42,7 +42,7 @@ class Router:
     def _log(self, df: DataFrame, kind: str, batch: int) -> None:
         day = F.coalesce("archive_period", F.date_format(F.timestamp_millis("received_ms"), "yyyy-MM-dd"))
         cols = ["received_ms", "arrival", "status", "errors", "payload", F.struct(*BAR.fieldNames(), "is_closed").alias("record")]
-        df.select(*cols, day.alias("date")).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").json(f"{self.root}/{kind}/batch={batch}")
+        df.select(*cols, day.alias("date")).hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").json(f"{self.root}/{kind}/batch={batch}")
 
     def state(self) -> DataFrame:
         names = [int(n.partition("=")[2]) for n in self.files.names("state") if n.startswith("v=")]

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import month_partitions, with_calendar
+from barloom.functions.calendar import millis_of, month_partitions, with_calendar
 from barloom.operators import quality
 from barloom.schema import BAR
 
@@ -20,6 +20,17 @@ def test_calendar(spark):
     assert month_partitions(T0, T0 + 86_400_000 * 31) == [(2020, 1), (2020, 2)] and month_partitions(5, 5) == []
 
 
+def test_millis_without_zone(spark):
+    df = spark.sql("select timestamp_ntz'1969-12-31 23:59:59.9995' t union all select timestamp_ntz'2014-03-01 00:00:00.001' union all select null")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert [r[0] for r in df.select(millis_of(F.col("t"))).collect()] == [-1, 1_393_632_000_001, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_quarantine_counts_both(spark):
     nan = float("nan")
     rows = [bar(), bar(high=0.1), bar(open_time=T0 + 1), bar(high=nan, close_time=5), bar(volume=None), bar(trade_count=-1), bar(interval="2h")]
