@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.session import shared_root
+from barloom.session import shared_root, ship
 
 
 def _known(part: pd.DataFrame, attrs: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
@@ -120,6 +120,7 @@ def history(snapshots: DataFrame, attrs: list[str], received: list[str], parts:
     """
     spark = snapshots.sparkSession
     shared_root(spark)
+    ship(spark)
     one = snapshots.where("entity is not null and time is not null").groupBy("entity", "time").agg(F.max(F.struct(*received, *attrs)).alias("r"))
     one = one.select(F.col("entity").cast("string").alias("entity"), F.col("time").cast("long").alias("time"), *[F.col(f"r.{a}").cast("string").alias(a) for a in attrs])
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))

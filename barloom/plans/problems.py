@@ -51,7 +51,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one copy of each message that the table keeps."""
-    return _two_loads(spark, sf_dir).read().select("row_id", "batch_id", "symbol", "interval", "open_time")
+    kept = _two_loads(spark, sf_dir).read()
+    kept = table(spark, sf_dir, "klines").limit(0) if kept is None else kept
+    return kept.select("row_id", "batch_id", "symbol", "interval", "open_time")
 
 
 P1_FOUND_SQL = f"""WITH {SQL_KEYED} SELECT row_id FROM (SELECT row_id, min(row_id) OVER (PARTITION BY sym, ivl, inst, arc) AS first_id FROM keyed) WHERE row_id > first_id"""

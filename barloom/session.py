@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 #: Above so many bytes nothing is broadcast by hint.
 BROADCAST_BYTES = 24 << 20
 _made: list[str] = []
+_shipped: set[str] = set()
 
 
 def session(app: str = "barloom", cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -82,5 +84,24 @@ def small(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a context, so that their functions are found wherever the job was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="barloom-ship-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "barloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    z.write(full, os.path.join("barloom", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def default_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", "8"))

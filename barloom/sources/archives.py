@@ -18,6 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from barloom.operators.catalog import verified_archives
 from barloom.schema import BAR, CSV
+from barloom.session import ship
 
 #: Bytes of CSV that are handed on at a time.
 BLOCK = 8 << 20
@@ -57,6 +58,7 @@ def read_zip_lines(spark: SparkSession, specs: DataFrame) -> DataFrame:
                 except Exception as e:  # noqa: BLE001 - the reason is the result
                     yield pd.DataFrame([head | {"line_no": at, "line": None, "error": f"{type(e).__name__}: {e}"[:300]}])
 
+    ship(spark)
     shape = "symbol string, interval string, archive_source string, archive_period string, source_archive string, line_no long, line string, error string"
     cols = specs.select("symbol", "interval", "archive_source", "archive_period", "path")
     return cols.repartition(F.col("path")).mapInPandas(run, shape)
@@ -137,6 +139,7 @@ def verify_files(spark: SparkSession, records: DataFrame) -> DataFrame:
                 sizes.append(size)
             yield b.assign(checksum_status=status, file_size=pd.array(sizes, dtype="Int64"))
 
+    ship(spark)
     rows = records.drop("checksum_status", "file_size")
     shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", checksum_status string, file_size long"
     return rows.mapInPandas(run, shape)
@@ -295,6 +298,7 @@ def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
             out = pd.DataFrame(rows, columns=["download_status", "checksum_status", "file_size", "retry_count"], index=b.index).astype({"file_size": "Int64"})
             yield pd.concat([b, out], axis=1)
 
+    ship(records.sparkSession)
     rows = records.drop("download_status", "checksum_status", "file_size", "retry_count")
     shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", download_status string, checksum_status string, file_size long, retry_count int"
     return rows.repartition(F.col("source_path")).mapInPandas(run, shape)

@@ -13,6 +13,7 @@ from barloom.functions.calendar import month_partitions, with_calendar
 from barloom.operators.conflicts import last_wins, upsert, upsert_counts
 from barloom.operators.quality import with_quarantine
 from barloom.schema import BAR, CURRENT, DATASET_VERSION, KEY, SCHEMA_VERSION, SEED
+from barloom.session import ship
 from barloom.storage import Files
 
 BAR_COLUMNS = BAR.fieldNames()
@@ -119,6 +120,7 @@ def probe_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, symbol, length, head, tail, readable, num_rows, error) of every Parquet file, from its first and last bytes and its footer; data pages aren't read."""
     import pandas as pd
 
+    ship(spark)
     files = list_files(spark, root)
 
     def run(batches):

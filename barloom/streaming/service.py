@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.continuity import backfill_plan, stale_streams
+from barloom.session import ship
 from barloom.sources.lake import ensure_current, read_bars
 from barloom.sources.rest import BarsApi, ranges_of
 from barloom.streaming.router import Router, backfill
@@ -15,6 +16,7 @@ from barloom.streaming.router import Router, backfill
 
 def fetch_answers(spark: SparkSession, plan: DataFrame, base: str, limit: int = 1500) -> DataFrame:
     """Rows of the API for every series of a plan that lacks bars."""
+    ship(spark)
     spark.dataSource.register(BarsApi)
     return spark.read.format("bars_api").option("base", base).option("limit", str(limit)).option("ranges", ranges_of(plan)).load()
 
