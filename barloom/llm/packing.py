@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.splitting import full_pieces, split_long
 from barloom.llm.tokens import RANKS
-from barloom.session import stored
+from barloom.session import ship, stored
 
 #: Containers that one task fills at a time.
 GROUP = 4096
@@ -91,5 +91,6 @@ def pack(docs: DataFrame, capacity: int, ranks: str = RANKS, linear: float = 1.0
         part["container"] += int(key[0]) << 32
         return part.drop(columns="grp")
 
+    ship(items.sparkSession)
     spread = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece_no", "n_tokens"), F.lit(groups)))
     return spread.groupBy("grp").applyInPandas(run, "doc_id long, piece_no int, start_char long, end_char long, n_tokens int, container long")

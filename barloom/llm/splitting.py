@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.tokens import RANKS, Tokenizer, tokenizer
+from barloom.session import ship
 
 # Strengths of natural boundaries; the cut lies after the white space or the mark. Any other place between two characters is weaker than all of them.
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD = 5, 4, 3, 2, 1
@@ -177,6 +178,7 @@ def split_long(docs: DataFrame, limit: int, overlap: int, ranks: str = RANKS, ke
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=names)
 
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and text <> ''")
     if not keep_short:
         texts = texts.where(F.octet_length("text") > limit)

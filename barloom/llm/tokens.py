@@ -9,9 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.session import ship
+
 #: Default place of the vocabulary; every operator takes another as a parameter.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before merges, as published with this vocabulary.
@@ -65,6 +67,8 @@ def tokenizer(ranks: str) -> Tokenizer:
 
 def token_count(text: Column, ranks: str = RANKS) -> Column:
     """Tokens of each text; 0 for a null or empty one."""
+    if (spark := SparkSession.getActiveSession()) is not None:
+        ship(spark)
 
     @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

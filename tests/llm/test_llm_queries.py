@@ -30,3 +30,14 @@ def test_p9_found(spark):
 @pytest.mark.parametrize("name", ["p3_fused", "p7_packed", "p7_containers", "p8_draw", "p8_shares", "p9_pieces"])
 def test_runs(spark, name):
     assert queries.QUERIES[name](spark, DATA).count() > 0
+
+
+@pytest.mark.parametrize("kind", ["empty", "nulls"])
+def test_empty_and_null_tables(spark, tmp_path, kind):
+    for f in os.listdir(DATA):
+        df = spark.read.parquet(f"{DATA}/{f}")
+        if not f.startswith("size_limits"):
+            df = df.limit(0) if kind == "empty" else spark.createDataFrame([(None,) * len(df.columns)] * 5, df.schema)
+        df.coalesce(1).write.parquet(str(tmp_path / f))
+    for name, f in queries.QUERIES.items():
+        assert f(spark, str(tmp_path)).count() == 0, name
