@@ -42,7 +42,7 @@ def _continuity(spark, a) -> tuple[dict, int]:
 
 def _audit(spark, a) -> tuple[dict, int]:
     rows = _rows(layout.audit(lake.list_files(spark, a.root).where("symbol is not null")))
-    return {"symbols": rows, "status": "mixed" if any(r["mixed"] for r in rows) else "ok"}, 0
+    return {"symbols": rows, "status": "mixed_layout_detected" if any(r["mixed"] for r in rows) else "ok"}, 0
 
 
 def _migrate(spark, a) -> tuple[dict, int]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # States of an archive record.
 DOWNLOAD, SKIP = "download", "skip"
-REQUIRED_DELTA, SKIPPED, INCLUDED = "required_delta", "skipped_by_default", "included_full_history"
+REQUIRED_DELTA, SKIPPED, INCLUDED = "required_delta", "skipped_by_default", "included_by_explicit_full_daily_history"
 VERIFIED = ["passed", "skipped_existing_verified"]
 DOWNLOADED = ["downloaded", "skipped_existing_verified"]
 GAPS = ["failed", "missing_zip", "missing_checksum", "download_failed"]
@@ -63,7 +63,7 @@ def process_summary(files: DataFrame, gap_cap: int = 100) -> DataFrame:
     n = lambda x: F.count(F.when(x, 1))
     ds, cs = F.col("download_status"), F.col("checksum_status")
     one = files.agg(
-        F.count(F.lit(1)).alias("files"), n(ds == "downloaded").alias("downloaded"), n(ds == "skipped_existing_verified").alias("skipped_existing"), n(ds == "skipped_covered_by_monthly").alias("skipped_overlap"), n(ds == "failed").alias("failed"),
+        F.count(F.lit(1)).alias("files"), n(ds == "downloaded").alias("downloaded"), n(ds == "skipped_existing_verified").alias("skipped_existing"), n(ds == "skipped_daily_overlap").alias("skipped_overlap"), n(ds == "failed").alias("failed"),
         n(cs.isin(VERIFIED)).alias("verified"), n(cs == "failed").alias("checksum_failed"), n(cs.isin("missing_zip", "missing_checksum")).alias("missing"),
         F.coalesce(F.sum("file_size"), F.lit(0)).alias("total_bytes"), F.sort_array(F.collect_set("archive_package_source")).alias("sources"),
         F.min(period_start(F.col("archive_period"))).alias("date_min"), F.max(period_end(F.col("archive_period"))).alias("date_max"), n(cs.isin(GAPS)).alias("gaps"),

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from barloom.functions.calendar import taipei_time
 
 # States of a symbol's files.
-NONE, YEAR_ONLY, MIXED = "already_canonical", "year_only_needs_migration", "mixed_layout"
+NONE, YEAR_ONLY, MIXED = "no_migration_needed", "year_only_needs_migration", "mixed_layout_needs_migration"
 #: Substrings of directories that a migration leaves behind.
-MARKERS = ["__stage", "__backup"]
+MARKERS = ["__stage_migrate", "__backup_migrate"]
 
 
 def symbol_of(path: Column) -> Column:

@@ -13,6 +13,22 @@ from barloom.intervals import cap_of, ms_of
 #: Value columns that must not be null.
 REQUIRED = ["symbol", "interval", "open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume", "source_archive", "archive_source", "archive_period"]
 
+# The messages about a live bar in their order; the fourth takes the expected and the found close_time.
+MESSAGES = [
+    "symbol is required",
+    "open_time must be non-negative",
+    "open_time is not aligned to interval",
+    "close_time mismatch: expected %d, got %d",
+    "OHLC invalid: high is below open/close/low",
+    "OHLC invalid: low is above open/close/high",
+    "volume must be non-negative",
+    "quote_volume must be non-negative",
+    "trade_count must be non-negative",
+    "taker_buy_base_volume must be non-negative",
+    "taker_buy_quote_volume must be non-negative",
+    "closed Kline close_time must be >= open_time",
+]
+
 
 def _nan(c: str) -> Column:
     return F.coalesce(F.isnan(F.col(c)), F.lit(False))
@@ -58,20 +74,22 @@ def live_errors(strict: bool = True, closed: Column | None = None) -> Column:
     top, bottom = F.greatest("open", "close", "low"), F.least("open", "close", "high")
     plain = lambda bad, *xs: (bad & ~reduce(lambda a, b: a | b, [_nan(x) for x in xs])) | nan(*xs)
     expected = c("open_time") + ms - 1
-    checks = [
-        (c("symbol").isNull() | (c("symbol") == ""), F.lit("symbol is required")),
-        (c("open_time") < 0, F.lit("open_time must be non-negative")),
-        (F.pmod(c("open_time"), ms) != 0, F.lit("open_time is not aligned to interval")),
-        (c("close_time") != expected, F.concat(F.lit("close_time mismatch: expected "), expected.cast("string"), F.lit(", got "), c("close_time").cast("string"))),
-        (plain(c("high") < top, "high", "open", "close", "low"), F.lit("OHLC invalid: high is below open/close/low")),
-        (plain(c("low") > bottom, "low", "open", "close", "high"), F.lit("OHLC invalid: low is above open/close/high")),
-        (plain(c("volume") < 0, "volume"), F.lit("volume must be non-negative")),
-        (plain(c("quote_volume") < 0, "quote_volume"), F.lit("quote_volume must be non-negative")),
-        (c("trade_count") < 0, F.lit("trade_count must be non-negative")),
-        (plain(c("taker_buy_base_volume") < 0, "taker_buy_base_volume"), F.lit("taker_buy_base_volume must be non-negative")),
-        (plain(c("taker_buy_quote_volume") < 0, "taker_buy_quote_volume"), F.lit("taker_buy_quote_volume must be non-negative")),
-        ((F.lit(True) if closed is None else closed) & (c("close_time") < c("open_time")), F.lit("closed bar must not close before it opens")),
+    violated = [
+        c("symbol").isNull() | (c("symbol") == ""),
+        c("open_time") < 0,
+        F.pmod(c("open_time"), ms) != 0,
+        c("close_time") != expected,
+        plain(c("high") < top, "high", "open", "close", "low"),
+        plain(c("low") > bottom, "low", "open", "close", "high"),
+        plain(c("volume") < 0, "volume"),
+        plain(c("quote_volume") < 0, "quote_volume"),
+        c("trade_count") < 0,
+        plain(c("taker_buy_base_volume") < 0, "taker_buy_base_volume"),
+        plain(c("taker_buy_quote_volume") < 0, "taker_buy_quote_volume"),
+        (F.lit(True) if closed is None else closed) & (c("close_time") < c("open_time")),
     ]
+    said = [F.format_string(m, expected, c("close_time")) if "%d" in m else F.lit(m) for m in MESSAGES]
+    checks = zip(violated, said, strict=True)
     return F.array_compact(F.array(*[F.when(bad, text) for bad, text in checks]))
 
 

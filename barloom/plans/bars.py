@@ -130,7 +130,7 @@ def _sql_nan(*xs):
     return "(" + " OR ".join(f"coalesce(isnan({x}), false)" for x in xs) + ")"
 
 
-SQL_ERRORS = "concat_ws('; ', CASE WHEN open_time < 0 THEN 'open_time must be non-negative' END, CASE WHEN open_time % ms <> 0 THEN 'open_time is not aligned to interval' END, CASE WHEN close_time <> open_time + ms - 1 THEN 'close_time mismatch: expected ' || (open_time + ms - 1) || ', got ' || close_time END, " + f"CASE WHEN high < greatest(open, close, low) OR {_sql_nan('high', 'open', 'close', 'low')} THEN 'OHLC invalid: high is below open/close/low' END, CASE WHEN low > least(open, close, high) OR {_sql_nan('high', 'open', 'close', 'low')} THEN 'OHLC invalid: low is above open/close/high' END, " + ", ".join(f"CASE WHEN {c} < 0" + (f" OR {_sql_nan(c)}" if c != "trade_count" else "") + f" THEN '{c} must be non-negative' END" for c in ("volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume")) + ", CASE WHEN close_time < open_time THEN 'closed bar must not close before it opens' END)"
+SQL_ERRORS = "concat_ws('; ', CASE WHEN open_time < 0 THEN 'open_time must be non-negative' END, CASE WHEN open_time % ms <> 0 THEN 'open_time is not aligned to interval' END, CASE WHEN close_time <> open_time + ms - 1 THEN 'close_time mismatch: expected ' || (open_time + ms - 1) || ', got ' || close_time END, " + f"CASE WHEN high < greatest(open, close, low) OR {_sql_nan('high', 'open', 'close', 'low')} THEN 'OHLC invalid: high is below open/close/low' END, CASE WHEN low > least(open, close, high) OR {_sql_nan('high', 'open', 'close', 'low')} THEN 'OHLC invalid: low is above open/close/high' END, " + ", ".join(f"CASE WHEN {c} < 0" + (f" OR {_sql_nan(c)}" if c != "trade_count" else "") + f" THEN '{c} must be non-negative' END" for c in ("volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume")) + ", CASE WHEN close_time < open_time THEN 'closed Kline close_time must be >= open_time' END)"
 
 
 @query(f"""WITH {SQL_BARS} SELECT * FROM (SELECT row_id, {SQL_ERRORS} AS errors FROM bars) WHERE errors <> ''""")
@@ -280,20 +280,20 @@ def covered_by_monthly(spark, d):
 SQL_ENDS = "CASE WHEN length(period) = 7 THEN strftime(last_day(CAST(period || '-01' AS DATE)), '%Y-%m-%d') ELSE period END"
 
 
-@query(f"""WITH {SQL_CLASSIFIED} SELECT interval, count(*) AS files, count(*) FILTER (archive_package_source = 'monthly') AS monthly_files, count(*) FILTER (archive_package_source <> 'monthly') AS daily_files, count(DISTINCT CASE WHEN archive_package_source = 'monthly' THEN symbol END) AS monthly_symbols, count(DISTINCT CASE WHEN archive_package_source <> 'monthly' THEN symbol END) AS daily_symbols, count(*) FILTER (daily_status = 'required_delta') AS required_delta, count(*) FILTER (daily_status = 'skipped_by_default') AS skipped_by_default, count(*) FILTER (daily_status = 'included_full_history') AS included_full_history, count(*) FILTER (download_decision = 'download') AS planned_downloads, min(CASE WHEN length(period) = 7 THEN period || '-01' ELSE period END) AS date_min, max({SQL_ENDS}) AS date_max FROM classified GROUP BY ALL""")
+@query(f"""WITH {SQL_CLASSIFIED} SELECT interval, count(*) AS files, count(*) FILTER (archive_package_source = 'monthly') AS monthly_files, count(*) FILTER (archive_package_source <> 'monthly') AS daily_files, count(DISTINCT CASE WHEN archive_package_source = 'monthly' THEN symbol END) AS monthly_symbols, count(DISTINCT CASE WHEN archive_package_source <> 'monthly' THEN symbol END) AS daily_symbols, count(*) FILTER (daily_status = 'required_delta') AS required_delta, count(*) FILTER (daily_status = 'skipped_by_default') AS skipped_by_default, count(*) FILTER (daily_status = 'included_by_explicit_full_daily_history') AS included_full_history, count(*) FILTER (download_decision = 'download') AS planned_downloads, min(CASE WHEN length(period) = 7 THEN period || '-01' ELSE period END) AS date_min, max({SQL_ENDS}) AS date_max FROM classified GROUP BY ALL""")
 def discovery_summary(spark, d):
     return C.discovery_summary(_classified(spark, d), ["interval"])
 
 
-SQL_FILES = f"""{SQL_CLASSIFIED}, files AS (SELECT *, CASE WHEN download_decision = 'skip' THEN 'skipped_covered_by_monthly' ELSE 'downloaded' END AS download_status, CASE WHEN checksum_name IS NULL THEN 'missing_checksum' WHEN given IS NULL THEN 'failed' WHEN download_decision = 'skip' THEN 'not_attempted' ELSE 'passed' END AS checksum_status, CAST(length(zip_name) AS BIGINT) AS file_size FROM classified)"""
+SQL_FILES = f"""{SQL_CLASSIFIED}, files AS (SELECT *, CASE WHEN download_decision = 'skip' THEN 'skipped_daily_overlap' ELSE 'downloaded' END AS download_status, CASE WHEN checksum_name IS NULL THEN 'missing_checksum' WHEN given IS NULL THEN 'failed' WHEN download_decision = 'skip' THEN 'not_attempted' ELSE 'passed' END AS checksum_status, CAST(length(zip_name) AS BIGINT) AS file_size FROM classified)"""
 
 
 def _files(spark, d):
     skip = F.col("download_decision") == "skip"
-    return _classified(spark, d).withColumns({"download_status": F.when(skip, "skipped_covered_by_monthly").otherwise("downloaded"), "checksum_status": F.when(F.col("checksum_name").isNull(), "missing_checksum").when(F.col("given").isNull(), "failed").when(skip, "not_attempted").otherwise("passed"), "file_size": F.length("zip_name").cast("long")})
+    return _classified(spark, d).withColumns({"download_status": F.when(skip, "skipped_daily_overlap").otherwise("downloaded"), "checksum_status": F.when(F.col("checksum_name").isNull(), "missing_checksum").when(F.col("given").isNull(), "failed").when(skip, "not_attempted").otherwise("passed"), "file_size": F.length("zip_name").cast("long")})
 
 
-@query(f"""WITH {SQL_FILES} SELECT count(*) AS files, count(*) FILTER (download_status = 'downloaded') AS downloaded, count(*) FILTER (download_status = 'skipped_covered_by_monthly') AS skipped_overlap, count(*) FILTER (checksum_status = 'passed') AS verified, count(*) FILTER (checksum_status = 'failed') AS checksum_failed, count(*) FILTER (checksum_status = 'missing_checksum') AS missing, CAST(sum(file_size) AS BIGINT) AS total_bytes, list_aggregate(list_sort(list(DISTINCT archive_package_source)), 'string_agg', ',') AS sources, min(CASE WHEN length(period) = 7 THEN period || '-01' ELSE period END) AS date_min, max({SQL_ENDS}) AS date_max, count(*) FILTER (checksum_status IN ('failed', 'missing_checksum')) AS gaps FROM files""")
+@query(f"""WITH {SQL_FILES} SELECT count(*) AS files, count(*) FILTER (download_status = 'downloaded') AS downloaded, count(*) FILTER (download_status = 'skipped_daily_overlap') AS skipped_overlap, count(*) FILTER (checksum_status = 'passed') AS verified, count(*) FILTER (checksum_status = 'failed') AS checksum_failed, count(*) FILTER (checksum_status = 'missing_checksum') AS missing, CAST(sum(file_size) AS BIGINT) AS total_bytes, list_aggregate(list_sort(list(DISTINCT archive_package_source)), 'string_agg', ',') AS sources, min(CASE WHEN length(period) = 7 THEN period || '-01' ELSE period END) AS date_min, max({SQL_ENDS}) AS date_max, count(*) FILTER (checksum_status IN ('failed', 'missing_checksum')) AS gaps FROM files""")
 def process_summary(spark, d):
     out = C.process_summary(_files(spark, d))
     return out.select("files", "downloaded", "skipped_overlap", "verified", "checksum_failed", "missing", "total_bytes", F.array_join("sources", ",").alias("sources"), "date_min", "date_max", "gaps")
@@ -326,7 +326,7 @@ def content_checksums(spark, d):
 
 SQL_PATHS = f"""{SQL_BARS}, rows AS (SELECT symbol, open_time, date[1:7] AS m, 'symbol=' || symbol || '/year=' || year || CASE WHEN {SQL_LIVE} THEN '/month=' || lpad(CAST(month AS VARCHAR), 2, '0') ELSE '' END || '/part-000.parquet' AS path FROM bars WHERE archive_source IS NOT NULL),
 lay AS (SELECT symbol, count(DISTINCT CASE WHEN path NOT LIKE '%/month=%' THEN path END) AS year_only_files, count(DISTINCT CASE WHEN path LIKE '%/month=%' THEN path END) AS year_month_files FROM rows GROUP BY ALL),
-checks AS (SELECT r.symbol, year_only_files, year_month_files, count(*) AS row_count, count(*) - count(DISTINCT open_time) AS duplicates, count(DISTINCT m) AS partitions, min(open_time) AS min_open_time, max(open_time) AS max_open_time, CASE WHEN year_only_files > 0 AND year_month_files > 0 THEN 'mixed_layout' WHEN year_only_files > 0 THEN 'year_only_needs_migration' ELSE 'already_canonical' END AS status FROM rows r JOIN lay USING (symbol) GROUP BY ALL)"""
+checks AS (SELECT r.symbol, year_only_files, year_month_files, count(*) AS row_count, count(*) - count(DISTINCT open_time) AS duplicates, count(DISTINCT m) AS partitions, min(open_time) AS min_open_time, max(open_time) AS max_open_time, CASE WHEN year_only_files > 0 AND year_month_files > 0 THEN 'mixed_layout_needs_migration' WHEN year_only_files > 0 THEN 'year_only_needs_migration' ELSE 'no_migration_needed' END AS status FROM rows r JOIN lay USING (symbol) GROUP BY ALL)"""
 
 
 def _paths(spark, d):
@@ -345,19 +345,19 @@ def layout_precheck(spark, d):
     return layout.precheck(_paths(spark, d))
 
 
-_REASON = "CASE WHEN symbol = 'NOVUSDV' THEN 'default_excluded_symbol' WHEN status = 'mixed_layout' THEN 'mixed_layout' WHEN regexp_matches(symbol, '_[0-9]{6}$') THEN 'delivery_contract' WHEN contains(symbol, 'SETTLED') THEN 'settled' WHEN regexp_matches(symbol, '[^\\x00-\\x7F]') THEN 'non_ascii' WHEN NOT split_part(symbol, '_', 1) LIKE '%USDV' THEN 'quote_asset_mismatch' END"
+_REASON = "CASE WHEN symbol = 'NOVUSDV' THEN 'default_excluded_symbol' WHEN status = 'mixed_layout_needs_migration' THEN 'mixed_layout' WHEN regexp_matches(symbol, '_[0-9]{6}$') THEN 'delivery_contract' WHEN contains(symbol, 'SETTLED') THEN 'settled' WHEN regexp_matches(symbol, '[^\\x00-\\x7F]') THEN 'non_ascii' WHEN NOT split_part(symbol, '_', 1) LIKE '%USDV' THEN 'quote_asset_mismatch' END"
 
 
 def _candidates(spark, d):
     return layout.with_reason(layout.candidates(layout.precheck(_paths(spark, d)), include_mixed=True), ["NOVUSDV"], [], ["USDV", "USDK"], ["USDV"])
 
 
-@query(f"WITH {SQL_PATHS} SELECT symbol, row_count, duplicates, partitions, {_REASON} AS reason FROM checks WHERE status <> 'already_canonical'")
+@query(f"WITH {SQL_PATHS} SELECT symbol, row_count, duplicates, partitions, {_REASON} AS reason FROM checks WHERE status <> 'no_migration_needed'")
 def migration_candidates(spark, d):
     return _candidates(spark, d).select("symbol", "row_count", "duplicates", "partitions", "reason")
 
 
-@query(f"WITH {SQL_PATHS}, c AS (SELECT *, {_REASON} AS reason FROM checks WHERE status <> 'already_canonical'), r AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN duplicates > 0 THEN 1 ELSE 0 END, row_count, partitions, symbol) AS n FROM c WHERE reason IS NULL) SELECT (n - 1) // 5 + 1 AS batch_no, count(*) AS symbols, CAST(sum(row_count) AS BIGINT) AS total_rows, CAST(sum(partitions) AS BIGINT) AS total_partitions, max(row_count) AS most_rows, max(partitions) AS most_partitions FROM r WHERE n <= 20 GROUP BY ALL")
+@query(f"WITH {SQL_PATHS}, c AS (SELECT *, {_REASON} AS reason FROM checks WHERE status <> 'no_migration_needed'), r AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN duplicates > 0 THEN 1 ELSE 0 END, row_count, partitions, symbol) AS n FROM c WHERE reason IS NULL) SELECT (n - 1) // 5 + 1 AS batch_no, count(*) AS symbols, CAST(sum(row_count) AS BIGINT) AS total_rows, CAST(sum(partitions) AS BIGINT) AS total_partitions, max(row_count) AS most_rows, max(partitions) AS most_partitions FROM r WHERE n <= 20 GROUP BY ALL")
 def migration_batches(spark, d):
     """The first four batches of five symbols of a migration."""
     return layout.batch_totals(layout.batches(_candidates(spark, d), 5, 4))

@@ -9,10 +9,13 @@ CHECK = "rule_id string, severity string, status string, message string, file st
 
 # Patterns that a whole name must match.
 NAMES = {
-    "dataset_id": r"[a-z0-9]+(?:_[a-z0-9]+)*",
-    "field": r"[a-z][a-z0-9]*(?:_[a-z0-9]+)*",
-    "version": r"v?[0-9]+\.[0-9]+\.[0-9]+",
-    "timezone": r"UTC(?:[+-][0-9]{1,2}(?::[0-9]{2})?)?",
+    "dataset_id": r"[a-z0-9]+(?:[._-][a-z0-9]+)*",
+    "field": r"[a-z][a-z0-9_]*",
+    "version": r"v[0-9]+\.[0-9]+\.[0-9]+",
+    "owner": r"[a-z0-9][a-z0-9._-]*",
+    "schema_ref": r"[A-Z_]+\.md#[a-z0-9]+(?:-[a-z0-9]+)*",
+    "doc_path": r"[a-z0-9_]+\.md",
+    "data_path": r"[a-z0-9_]+(?:\.[a-z0-9_]+)+",
 }
 
 

@@ -256,7 +256,7 @@ def archive_symbols(monthly: DataFrame, daily: DataFrame, limit: int = 0) -> Dat
 def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
     """Fetches the archives of catalog records and their checksums in parallel; returns the records with download_status, checksum_status, file_size and retry_count.
 
-    A record decided as skip is skipped_covered_by_monthly; an archive whose file is there and fits its checksum is not fetched again (skipped_existing_verified). Files are put in place by a rename after the checksum held, so a task that runs twice does no harm. A missing archive or checksum, and one that doesn't fit, are statuses, not errors."""
+    A record decided as skip is skipped_daily_overlap; an archive whose file is there and fits its checksum is not fetched again (skipped_existing_verified). Files are put in place by a rename after the checksum held, so a task that runs twice does no harm. A missing archive or checksum, and one that doesn't fit, are statuses, not errors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
@@ -267,7 +267,7 @@ def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
             for r in b.itertuples(index=False):
                 z, c = r.local_zip_path, r.local_checksum_path
                 if r.download_decision == "skip":
-                    rows.append(("skipped_covered_by_monthly", "not_attempted", None, 0))
+                    rows.append(("skipped_daily_overlap", "not_attempted", None, 0))
                     continue
                 if os.path.exists(z) and os.path.exists(c):
                     with open(z, "rb") as f, open(c) as g:

@@ -10,7 +10,7 @@ from barloom.operators import catalog, instruments, layout, resample
 
 def test_classify_and_summaries(spark):
     shape = "symbol string, archive_package_source string, archive_period string, download_status string, checksum_status string, file_size long"
-    rows = [("A", "monthly", "2024-02", "downloaded", "passed", 5), ("A", "daily", "2024-02-03", "skipped_covered_by_monthly", "not_attempted", None), ("A", "daily", "2024-03-01", "downloaded", "failed", 7), ("B", "daily", "2024-02-03", "failed", "download_failed", None)]
+    rows = [("A", "monthly", "2024-02", "downloaded", "passed", 5), ("A", "daily", "2024-02-03", "skipped_daily_overlap", "not_attempted", None), ("A", "daily", "2024-03-01", "downloaded", "failed", 7), ("B", "daily", "2024-02-03", "failed", "download_failed", None)]
     df = spark.createDataFrame(rows, shape)
     c = catalog.classify(df, ["symbol"])
     assert {(r.symbol, r.archive_period): (r.covered_by_monthly, r.daily_status, r.download_decision) for r in c.collect()} == {("A", "2024-02"): (None, None, "download"), ("A", "2024-02-03"): (True, "skipped_by_default", "skip"), ("A", "2024-03-01"): (False, "required_delta", "download"), ("B", "2024-02-03"): (False, "required_delta", "download")}
@@ -31,12 +31,12 @@ def test_layout(spark):
     rows = [("A", "x/symbol=A/year=2024/part-0.parquet", 0), ("A", "x/symbol=A/year=2024/part-0.parquet", 0), ("B", "x/symbol=B/year=2024/month=01/p.parquet", 1), ("B", "x/symbol=B/year=2024/p.parquet", 2), ("C", "x/symbol=C/year=2024/month=01/p.parquet", 3), ("D_240329", "x/symbol=D_240329/year=2024/p.parquet", 3)]
     df = spark.createDataFrame(rows, "symbol string, path string, open_time long")
     checks = layout.precheck(df)
-    assert {r.symbol: (r.status, r.row_count, r.duplicates) for r in checks.collect()} == {"A": ("year_only_needs_migration", 2, 1), "B": ("mixed_layout", 2, 0), "C": ("already_canonical", 1, 0), "D_240329": ("year_only_needs_migration", 1, 0)}
+    assert {r.symbol: (r.status, r.row_count, r.duplicates) for r in checks.collect()} == {"A": ("year_only_needs_migration", 2, 1), "B": ("mixed_layout_needs_migration", 2, 0), "C": ("no_migration_needed", 1, 0), "D_240329": ("year_only_needs_migration", 1, 0)}
     found = layout.with_reason(layout.candidates(checks, include_mixed=True), [], [], ["USDT"], [])
     assert {r.symbol: r.reason for r in found.collect()} == {"A": None, "B": "mixed_layout", "D_240329": "delivery_contract"}
     assert layout.batches(found, 1, 3).collect()[0].symbol == "A"
     assert [r.symbol for r in layout.candidates(checks, limit=1).collect()] == ["D_240329"]
-    paths = spark.createDataFrame([("r/symbol=ab/year=1/x",), ("r/symbol=a.__backup_1/x",), ("r/other/x",), ("r/symbol=%E7%81%B5/x",)], "p string")
+    paths = spark.createDataFrame([("r/symbol=ab/year=1/x",), ("r/symbol=a.__backup_migrate_1/x",), ("r/other/x",), ("r/symbol=%E7%81%B5/x",)], "p string")
     assert [r[0] for r in paths.select(layout.symbol_of(F.col("p"))).collect()] == ["AB", None, None, "灵"]
 
 
@@ -125,5 +125,5 @@ def test_universe_file_shapes(spark, tmp_path):
         (tmp_path / "bad.json").write_text(text)
         with pytest.raises(ValueError):
             instruments.read_records(spark, str(tmp_path / "bad.json"))
-    files = spark.createDataFrame([("A", "r/symbol=A/year=1/p"), ("A", "r/symbol=A/year=1/month=01/p"), (None, "r/symbol=A.__b/year=1/p")], "symbol string, path string")
+    files = spark.createDataFrame([("A", "r/symbol=A/year=1/p"), ("A", "r/symbol=A/year=1/month=01/p"), (None, "r/symbol=A.__backup_migrate_1/year=1/p")], "symbol string, path string")
     assert [r.path for r in layout.year_only(files).collect()] == ["r/symbol=A/year=1/p"]

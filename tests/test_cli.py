@@ -30,7 +30,7 @@ def test_archives_to_dataset(spark, tmp_path, capsys):
     code, out = say("continuity", "--root", cur, "--now-ms", str(T0 + 10 * M))
     assert out["series"][0]["rows"] == 2 and out["overall_status"] == "ok"
     assert say("audit-layout", "--root", cur)[1]["status"] == "ok"
-    assert say("migrate-layout", "--root", cur, "--symbols", "A")[1]["symbols"][0]["status"] == "already_canonical"
+    assert say("migrate-layout", "--root", cur, "--symbols", "A")[1]["symbols"][0]["status"] == "no_migration_needed"
     assert say("probe", "--root", cur) == (0, {"unreadable": []})
     assert cli.main(["materialize", "--interval", "2m", "--files", "x", "--raw", "x", "--out", "x"]) == 2
     assert cli.main(["no-such"]) == 2

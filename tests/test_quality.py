@@ -42,7 +42,7 @@ def test_live_errors(spark):
     nan = float("nan")
     df = spark.createDataFrame([bar(), bar(symbol="", open_time=-5, close_time=-9, high=0.0, volume=-1.0), bar(high=nan)], BAR)
     strict = [r[0] for r in df.select(quality.live_errors()).collect()]
-    assert strict[0] == [] and strict[1][0] == "symbol is required" and strict[1][1] == "open_time must be non-negative" and strict[1][-1] == "closed bar must not close before it opens" and len(strict[1]) == 8
+    assert strict[0] == [] and strict[1][0] == "symbol is required" and strict[1][1] == "open_time must be non-negative" and strict[1][-1] == "closed Kline close_time must be >= open_time" and len(strict[1]) == 8
     loose = [r[0] for r in df.select(quality.live_errors(strict=False)).collect()]
     assert len(strict[2]) == 2 and loose[2] == []
 

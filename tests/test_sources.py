@@ -128,7 +128,7 @@ def test_download(spark, tmp_path):
     df = spark.createDataFrame(rows, "source_path string, source_checksum_path string, local_zip_path string, local_checksum_path string, download_decision string")
     run = lambda: {r.source_path[2:-4]: (r.download_status, r.checksum_status) for r in archives.download(df, f"http://127.0.0.1:{s.server_port}").collect()}
     first = run()
-    assert first == {"good": ("downloaded", "passed"), "bad": ("failed", "failed"), "alone": ("failed", "missing_checksum"), "none": ("failed", "missing_zip"), "covered": ("skipped_covered_by_monthly", "not_attempted")}
+    assert first == {"good": ("downloaded", "passed"), "bad": ("failed", "failed"), "alone": ("failed", "missing_checksum"), "none": ("failed", "missing_zip"), "covered": ("skipped_daily_overlap", "not_attempted")}
     assert run()["good"] == ("skipped_existing_verified", "skipped_existing_verified") and sorted(p.name for p in (tmp_path / "raw").iterdir()) == ["good.zip", "good.zip.CHECKSUM"]
     s.shutdown()
     folders = spark.createDataFrame([("d/B/",), ("d/A/",), ("d/x.zip",)], "key string")
@@ -210,12 +210,12 @@ def test_migration(spark, tmp_path):
     shutil.copytree(next((tmp_path / "new" / "symbol=A" / "year=2020").iterdir()), tmp_path / "cur" / "symbol=A" / "year=2020" / "month=01")
     assert migrate_symbol(spark, root, "X")["status"] == "source_missing"
     plan = migrate_symbol(spark, root, "A")
-    assert (plan["status"], plan["row_count"], plan["duplicates"], plan["source_status"]) == ("planned", 6, 1, "mixed_layout")
+    assert (plan["status"], plan["row_count"], plan["duplicates"], plan["source_status"]) == ("planned", 6, 1, "mixed_layout_needs_migration")
     done = migrate_symbol(spark, root, "A", execute=True)
     assert done["status"] == "migrated" and (tmp_path / "cur" / done["backup"] / "symbol=A").exists()
     got = {r.open_time: r.close for r in read_bars(spark, root, ["A"]).where("month is not null").collect()}
     assert len(got) == 5 and got[T0] == 2.0  # the year-only copy sorts after month=01
-    assert migrate_symbol(spark, root, "A", execute=True)["status"] == "already_canonical"
+    assert migrate_symbol(spark, root, "A", execute=True)["status"] == "no_migration_needed"
     f = next((tmp_path / "cur" / "symbol=B" / "year=2020").glob("*.parquet"))
     f.write_bytes(f.read_bytes()[:-4])
     assert migrate_symbol(spark, root, "B", execute=True)["status"] == "source_parquet_unreadable"
