@@ -12,24 +12,43 @@ from pyspark.sql import functions as F
 from barloom.llm.tokens import RANKS, Tokenizer, tokenizer
 from barloom.session import ship
 
-# Strengths of natural boundaries; the cut lies after the white space or the mark. Any other place between two characters is weaker than all of them.
-PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD = 5, 4, 3, 2, 1
+# Strengths of natural boundaries; the cut lies after the white space or the mark. Marks of compact data, which has no white space, are weaker than those of language: the comma between two records, and any other. Any other place between two characters is weaker than all of them.
+PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, RECORD, MARK = 7, 6, 5, 4, 3, 2, 1
 # Marks that end a sentence or a clause before white space, what may close a quotation between, and marks of wide scripts that end one by themselves.
 ENDS, PAUSES, CLOSERS, WIDE_ENDS, WIDE_PAUSES = ".!?…", ",;:", "\"')]", "。！？", "，；：、"
+# Marks of compact data, and what may follow a closing brace that still belongs to it.
+MARKS, AFTER_BRACE = ",;}", ",;}])"
 
 
 #: Tokens a piece may gain when it is counted by itself, since its ends can cut a word.
 SLACK = 4
 
 
+def _one_of(c: np.ndarray, chars: str) -> np.ndarray:
+    return np.isin(c, [ord(k) for k in chars])
+
+
+def _white(c: np.ndarray) -> np.ndarray:
+    return (c == 32) | ((c >= 9) & (c <= 13)) | ((c >= 28) & (c <= 31)) | (c == 0x85) | (c == 0xA0) | (c == 0x1680) | ((c >= 0x2000) & (c <= 0x200A)) | (c == 0x2028) | (c == 0x2029) | (c == 0x202F) | (c == 0x205F) | (c == 0x3000)
+
+
+def structure(text: str) -> np.ndarray:
+    """As boundaries(), of the marks of compact data without white space after them: RECORD after the comma of '},{', MARK after any other of MARKS; 0 elsewhere."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    strength = np.zeros(len(c) + 1, np.int8)
+    mark, after = c[:-1], c[1:]
+    strength[1:-1][_one_of(mark, MARKS) & ~_white(after) & ~((mark == ord("}")) & _one_of(after, AFTER_BRACE))] = MARK
+    strength[2:-1][(c[:-2] == ord("}")) & (c[1:-1] == ord(",")) & (c[2:] == ord("{"))] = RECORD
+    return strength
+
+
 def boundaries(text: str) -> np.ndarray:
     """The strength of the boundary before each character, and after the last; 0 at both ends and where there is none.
 
     A run of white space gives one at its end: a paragraph's with two line breaks in it, else by what stands before it; and after each line break in it a line's."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(c)
-    one_of = lambda x, chars: np.isin(x, [ord(k) for k in chars])
-    white = (c == 32) | ((c >= 9) & (c <= 13)) | ((c >= 28) & (c <= 31)) | (c == 0x85) | (c == 0xA0) | (c == 0x1680) | ((c >= 0x2000) & (c <= 0x200A)) | (c == 0x2028) | (c == 0x2029) | (c == 0x202F) | (c == 0x205F) | (c == 0x3000)
+    white = _white(c)
     strength = np.zeros(n + 1, np.int8)
     edge = np.flatnonzero(np.diff(np.concatenate([[False], white, [False]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
@@ -37,12 +56,12 @@ def boundaries(text: str) -> np.ndarray:
     at = start - 1  # the character before each run, quotations' closers skipped
     for _ in range(3):
         ok = at >= 0
-        at = np.where(ok & one_of(c[np.maximum(at, 0)], CLOSERS), at - 1, at)
+        at = np.where(ok & _one_of(c[np.maximum(at, 0)], CLOSERS), at - 1, at)
     before, plain = c[np.maximum(at, 0)], c[np.maximum(start - 1, 0)]
-    strength[end[(start > 0) & one_of(plain, PAUSES)]] = CLAUSE
-    strength[end[(at >= 0) & one_of(before, ENDS)]] = SENTENCE
+    strength[end[(start > 0) & _one_of(plain, PAUSES)]] = CLAUSE
+    strength[end[(at >= 0) & _one_of(before, ENDS)]] = SENTENCE
     for chars, rank in ((WIDE_PAUSES, CLAUSE), (WIDE_ENDS, SENTENCE)):
-        i = np.flatnonzero(one_of(c, chars)) + 1
+        i = np.flatnonzero(_one_of(c, chars)) + 1
         strength[i] = np.maximum(strength[i], rank)
     breaks = (c == 10) | ((c == 13) & (np.append(c[1:], 0) != 10))
     i = np.flatnonzero(breaks) + 1
@@ -65,6 +84,7 @@ class _Text:
         #: before[i]: tokens that end at or before character i.
         self.before = np.cumsum(ended, dtype=np.int64)[np.append(starts, len(raw))]
         strength = boundaries(text)
+        strength = np.where(strength > 0, strength, structure(text))
         self.at = np.flatnonzero(strength)
         self.strength = strength[self.at]
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm import tokens
-from barloom.llm.splitting import CLAUSE, LINE, PARAGRAPH, SENTENCE, WORD, boundaries, full_pieces, pieces, split_long
+from barloom.llm.splitting import CLAUSE, LINE, MARK, PARAGRAPH, RECORD, SENTENCE, WORD, boundaries, full_pieces, pieces, split_long, structure
 
 LIMIT, OVERLAP = 128, 16
 
@@ -73,6 +73,28 @@ def test_boundaries():
         assert boundaries(text).tolist() == want
 
 
+def test_minified_json_is_cut_between_records(tok):
+    rnd = random.Random(3)
+    text = "[" + ",".join(f'{{"E":{rnd.randint(10**12, 10**13)},"s":"NOVUSDV","k":{{"o":"{rnd.random():.4f}","x":true}},"b":[["{rnd.random():.4f}","1"],["2","3"]]}}' for _ in range(200)) + "]"
+    assert not re.search(r"\s", text)
+    for got in (pieces(text, tok, 1024, 64), full_pieces(text, tok, 1024)):
+        assert "".join(text[c:e] for _, c, e, _ in got) == text and len(got) > 5
+        assert all(n == tok.count(text[s:e]) <= 1024 for s, _, e, n in got)
+        assert all(text[c - 2 : c + 1] == "},{" for _, c, _, _ in got[1:])
+    one = '{"k":[' + ",".join(f'"{rnd.randint(10**8, 10**9)}"' for _ in range(600)) + "]}"  # a single record: between its values
+    assert all(text[c - 1] == "," for text in (one, one.replace('"', "")) for _, c, _, _ in pieces(text, tok, 1024, 64)[1:])
+    code = "".join(f"f{i}(x{i});" for i in range(600))
+    assert all(code[c - 1] == ";" for _, c, _, _ in pieces(code, tok, 1024, 64)[1:])
+
+
+def test_marks_are_weaker_than_words(tok):
+    text = "alpha beta gamma " * 30 + ",".join("{}" for _ in range(40)) + " " + "delta " * 90
+    assert all(text[c - 1] == " " for _, c, _, _ in pieces(text, tok, LIMIT, OVERLAP)[1:])
+    assert structure("").tolist() == [0] and structure("}").tolist() == [0, 0]
+    assert structure('[{"a":1,"b":2},{"c":3}]').tolist() == [0] * 8 + [MARK] + [0] * 6 + [RECORD] + [0] * 8
+    assert not any(structure("a, b; c,\n{ } }])"))
+
+
 def test_against_plain_recursion(tok):
     """The same cuts from a direct reading of the rule, every size counted anew from the text's tokens."""
     from barloom.llm.splitting import SLACK, _Text
