@@ -109,7 +109,7 @@ class _Text:
         return int(np.searchsorted(self.before, tokens, "right")) - 1
 
     def cut(self, a: int, b: int) -> int:
-        """Where to cut between a and b: the strongest boundary in the middle half of the tokens, of equals the nearest to the midpoint; without any, the place between two tokens nearest to it."""
+        """Where to cut between a and b: the strongest boundary in the middle half of the tokens, of equals the nearest to the midpoint; without any there, the boundary of the span nearest to it; without any at all, the place between two tokens nearest to it."""
         lo, n = int(self.before[a]), self.size(a, b)
         mid = lo + n / 2
         left, right = self.char_at(lo + n // 4), self.char_at(lo + n - n // 4)
@@ -118,6 +118,10 @@ class _Text:
             s = self.strength[i:j]
             best = np.flatnonzero(s == s.max()) + i
             return int(self.at[best[np.argmin(np.abs(self.before[self.at[best]] - mid))]])
+        first, last = np.searchsorted(self.at, a, "right"), np.searchsorted(self.at, b)
+        if last > first:  # all of them outside: those next to the middle half
+            near = self.at[[k for k in (min(i, last) - 1, i) if first <= k < last]]
+            return int(near[np.argmin(np.abs(self.before[near] - mid))])
         return min(max(self.char_at(int(mid)), a + 1), b - 1)
 
 

@@ -95,6 +95,21 @@ def test_marks_are_weaker_than_words(tok):
     assert not any(structure("a, b; c,\n{ } }])"))
 
 
+def test_boundary_outside_the_middle_half(tok):
+    rnd = random.Random(4)
+    blob = "".join(rnd.choice("ABCDEFabcdef0123456789+/") for _ in range(1000))
+    size = tok.count(blob)
+    for text, at in (("alpha " * (size // 5) + blob, size // 5 * 6), (blob + " omega" * (size // 5), len(blob) + 1)):
+        limit = tok.count(text) - 20
+        got = pieces(text, tok, limit, 0)
+        assert [c for _, c, _, _ in got] == [0, at] and all(n <= limit for *_, n in got)
+    text = "alpha " + "".join(rnd.choice("ABCDEFabcdef0123456789+/") for _ in range(20000)) + " omega"  # two short pieces at most, then halves
+    got = pieces(text, tok, LIMIT, OVERLAP)
+    assert got[0][2] == 6 and got[-1][1] == len(text) - 5
+    assert "".join(text[c:e] for _, c, e, _ in got) == text and all(n == tok.count(text[s:e]) <= LIMIT for s, _, e, n in got)
+    assert len(got) <= 2 * tok.count(text) / (LIMIT - OVERLAP) + 4
+
+
 def test_against_plain_recursion(tok):
     """The same cuts from a direct reading of the rule, every size counted anew from the text's tokens."""
     from barloom.llm.splitting import SLACK, _Text
