@@ -1,6 +1,6 @@
 """History of changing entity attributes from snapshots: the versions of each entity and the time each one held.
 
-Snapshots are brought together by (entity, time) ranges and sorted within each: Spark merges the sorted runs of the snapshots into one iterator a task, and the iterator is read in Arrow batches that carry one open version from batch to batch. Versions leave as soon as the next payload closes them; no entity's history is held in memory. Ranges are cut by time as well as by entity, so an entity with a third of all rows is spread over many tasks; the open version at each cut comes from a first pass that sends one row a task to the driver.
+All snapshots together are shuffled into (entity, time) ranges and sorted within each, in place of a k-way merge of snapshots that are sorted already; a range is one iterator a task, read in Arrow batches that carry one open version from batch to batch. Versions leave as soon as the next payload closes them; no entity's history is held in memory. Ranges are cut by time as well as by entity, so an entity with a third of all rows is spread over many tasks; the open version at each cut comes from a first pass that sends one row a task to the driver.
 """
 
 from __future__ import annotations
