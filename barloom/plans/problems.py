@@ -29,7 +29,8 @@ def klines_table(spark: SparkSession, root: str) -> MessageTable:
         "instant": unit_factor(F.col("open_time"), F.col("open_time")),
         "archive": canonical_archive(F.col("source_archive"), F.col("archive_source")),
     }
-    return MessageTable(spark, root, ids, ["symbol", "interval", "instant"], "row_id", F.date_format("received_at", "yyyyMM"))
+    month = F.expr("greatest(0, least(9999, _mt_instant div 2592000000))")  # thirty days, whatever the session's zone
+    return MessageTable(spark, root, ids, ["symbol", "interval", "instant"], "row_id", F.date_format("received_at", "yyyyMM"), bucket=month)
 
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> MessageTable:

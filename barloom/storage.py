@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -30,16 +31,30 @@ class Files:
             stream.close()
 
     def write_new(self, text: str, *parts: str) -> bool:
-        """Puts a file in place by one rename; False if another writer was first."""
+        """Puts a file in place in one step that fails where there is one already; False if another writer was first. On a local file system that step is a hard link, elsewhere the rename that doesn't replace."""
         final = self.path(*parts)
         tmp = self._jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{self._jvm.java.util.UUID.randomUUID()}")
         stream = self._fs.create(tmp, False)
         stream.write(bytearray(text.encode()))
         stream.close()
-        if self._fs.exists(final):
-            self._fs.delete(tmp, False)
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                local = lambda p: self._jvm.java.nio.file.Paths.get(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(self._jvm.java.lang.String, 0))
+                self._jvm.java.nio.file.Files.createLink(local(final), local(tmp))
+            else:
+                conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+                none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                how = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                how[0] = none
+                self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), conf).rename(tmp, final, how)
+            return True
+        except Py4JJavaError:
+            if not self._fs.exists(final):
+                raise
             return False
-        return self._fs.rename(tmp, final)
+        finally:
+            if self._fs.exists(tmp):
+                self._fs.delete(tmp, False)
 
     def delete(self, *parts: str) -> None:
         self._fs.delete(self.path(*parts), True)

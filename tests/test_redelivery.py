@@ -62,16 +62,54 @@ def test_edges(spark, tmp_path):
     m.merge(spark.createDataFrame(same, SHAPE))
     got = sorted((r.n, r.day) for r in m.read().collect())
     assert got == [(1, None), (2, "d"), (2, "d")]  # one of three equal deliveries; rows without identity all stay
+    assert [r.n for r in m.removed().collect()] == [1, 1]
     with pytest.raises(ValueError):
         m.merge(spark.createDataFrame([(1, "a", 1, "d", "x", 1)], SHAPE + ", _mt_k int"))
     with pytest.raises(ValueError):
         table(spark, tmp_path / "b").removed()
 
 
-def test_second_writer_fails(spark, tmp_path):
+def test_nulls_and_ties_of_the_order(spark, tmp_path):
+    """A null order loses; an order value that two identifiers share takes only the loser's row; of ties one is kept and the others are counted."""
     m = table(spark, tmp_path)
-    m.merge(spark.createDataFrame([(1, "a", 1, "d", "x")], SHAPE))
-    assert not m.files.write_new("{}", "_manifest", "00000001.json")
+    rows = [(1, "a", 1, "d", "x"), (None, "a", 1, "d", "x"), (None, "b", 1, "d", "x"), (None, "b", 1, "e", "x"), (5, "c", 1, "d", "x"), (3, "c", 1, "d", "x"), (5, "e", 1, "d", "x"), (7, "f", 1, "d", "x"), (7, "f", 1, "d", "x"), (7, "f", 1, "e", "x"), (9, "f", 1, "e", "x")]
+    m.merge(spark.createDataFrame(rows[:6], SHAPE))
+    m.merge(spark.createDataFrame(rows[6:], SHAPE))
+    assert sorted((r.k, r.n if r.n is not None else -1) for r in m.read().collect()) == [("a", 1), ("b", -1), ("c", 3), ("e", 5), ("f", 7)]
+    assert sorted(r.n if r.n is not None else -1 for r in m.removed().collect()) == [-1, -1, 5, 7, 7, 9]
+
+
+def test_two_writers(spark, tmp_path):
+    """Two writers start from one version: the second to publish fails, leaves what the first published as it is, and can merge again."""
+    a, b = table(spark, tmp_path), table(spark, tmp_path)
+    a.merge(spark.createDataFrame([(1, "a", 1, "d", "x")], SHAPE))
+    old = b._manifest()
+    a.merge(spark.createDataFrame([(2, "b", 1, "d", "first")], SHAPE))
+    b._manifest = lambda: old
+    late = spark.createDataFrame([(3, "c", 1, "d", "second")], SHAPE)
+    with pytest.raises(RuntimeError, match="another writer"):
+        b.merge(late)
+    assert {r.extra for r in a.read().collect()} == {"x", "first"}
+    del b._manifest
+    b.merge(late)
+    assert {r.extra for r in a.read().collect()} == {"x", "first", "second"}
+    a.vacuum()
+    assert a.read().count() == 3 and not a.files.write_new("{}", "_manifest", "00000001.json")
+
+
+def test_index_grows_and_is_read_with_the_batch(spark, tmp_path):
+    """A batch opens only the buckets of its own identifiers, and few deltas stand beside each other."""
+    m = MessageTable(spark, str(tmp_path), {"k": F.col("k"), "t": F.col("t")}, ["k", "t"], "n", F.col("day"), bucket=F.expr("_mt_t div 10"))
+    read = []
+    for i in range(6):
+        rows = [(100 * i + j, "a", 100 * i + j, f"d{i}", "") for j in range(100)]
+        m.merge(spark.createDataFrame(rows, SHAPE))
+        one = m.merge(spark.createDataFrame([(10_000 + i, "a", 5, "late", "")], SHAPE))
+        read.append(one.index_files)
+        assert one.looked_up == ["pd0"] and one.removed_rows == 1
+    assert len(m._manifest()["index"]) <= 5 and max(read) <= 4
+    files = len(m._index(m._manifest()["index"]).inputFiles())
+    assert files >= 60  # of which a batch of one identifier read at most four
 
 
 def test_work_folders_are_released(spark):
