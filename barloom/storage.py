@@ -62,3 +62,14 @@ class Files:
     def rename(self, a: list[str], b: list[str]) -> bool:
         self._fs.mkdirs(self.path(*b).getParent())
         return self._fs.rename(self.path(*a), self.path(*b))
+
+
+def arrow_place(path: str):
+    """The file system of a path for Arrow, and the path on it; for Python workers that read and write files where they run."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        path = "file://" + path.removeprefix("file:")
+    for other in ("s3a://", "s3n://"):
+        path = path.replace(other, "s3://", 1) if path.startswith(other) else path
+    return fs.FileSystem.from_uri(path)
