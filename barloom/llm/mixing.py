@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.tokens import RANKS, canonical_source, token_count
 from barloom.session import stored
 
-#: Thresholds tried in one pass of the rounding, passes for a threshold, and thresholds: the later ones fill what is left with smaller texts.
-TRIES, ROUNDS, STAGES = 16, 4, 3
+#: Cells of the histogram of scores that a threshold is taken from, and thresholds: the later ones fill what is left with smaller texts.
+CELLS, STAGES = 1 << 16, 3
 
 
 def _targets(targets: DataFrame, have: dict[str, tuple[int, int]], total: float | None) -> dict[str, dict]:
@@ -66,19 +66,13 @@ def _solve(sizes: DataFrame, goals: dict[str, dict], steps: int, tolerance: floa
 
 
 def _thresholds(can: DataFrame, gaps: dict[str, float]) -> dict[str, dict]:
-    """For each source the largest threshold, to 1 in TRIES ** ROUNDS, at which the texts with a lower score have no more tokens than its gap, and their tokens. can: (source, n, score in [0, 1])."""
-    box = {s: {"lo": 0.0, "hi": 1.0} for s in gaps}
-    taken: dict[str, float] = {}
-    for _ in range(ROUNDS):
-        at = lambda k: F.col("lo") + (F.col("hi") - F.col("lo")) * (k / TRIES)
-        for r in _with(can, box).groupBy("source").agg(*[F.sum(F.when(F.col("score") < at(k), F.col("n")).otherwise(0)).alias(f"t{k}") for k in range(TRIES + 1)]).collect():
-            s, b = r["source"], box[r["source"]]
-            k = max(k for k in range(TRIES + 1) if k == 0 or r[f"t{k}"] <= gaps[s])
-            taken[s] = float(r[f"t{k}"])
-            width = (b["hi"] - b["lo"]) / TRIES
-            lo = b["lo"] + width * k
-            box[s] = {"lo": lo, "hi": min(b["hi"], lo + width)}
-    return {s: {"cut": box[s]["lo"], "taken": t} for s, t in taken.items()}
+    """For each source the largest threshold, to 1 in CELLS, at which the texts with a lower score have no more tokens than its gap, and their tokens. can: (source, n, score in [0, 1]), read once: what is decided on is a histogram of scores, which has at most CELLS rows a source."""
+    cell = F.least(F.floor(F.col("score") * CELLS), F.lit(CELLS - 1))
+    cells = can.groupBy("source", cell.alias("cell")).agg(F.sum("n").alias("n"))
+    taken = cells.withColumn("taken", F.sum("n").over(Window.partitionBy("source").orderBy("cell")))
+    fits = _with(taken, {s: {"gap": g} for s, g in gaps.items()}).where("taken <= gap")
+    got = fits.groupBy("source").agg(F.max("cell").alias("cell"), F.max("taken").alias("taken")).collect()
+    return {s: {"cut": 0.0, "taken": 0.0} for s in gaps} | {r["source"]: {"cut": (r["cell"] + 1) / CELLS, "taken": float(r["taken"])} for r in got}
 
 
 def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, ranks: str = RANKS, steps: int = 40, tolerance: float = 1e-5) -> tuple[DataFrame, DataFrame]:

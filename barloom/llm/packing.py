@@ -78,7 +78,7 @@ def fill(sizes: list[int], capacity: int, linear: float, quadratic: float) -> li
 def pack(docs: DataFrame, capacity: int, ranks: str = RANKS, linear: float = 1.0, quadratic: float | None = None) -> DataFrame:
     """(doc_id, piece_no, start_char, end_char, n_tokens, container): every text with tokens in exactly one container, whole unless it exceeds the capacity; then it is cut into pieces within it, without overlap, each as full as a natural boundary in its last eighth allows.
 
-    The cost of an item of n tokens is linear * n + quadratic * n^2; quadratic defaults to 1 / capacity, at which a full-size item costs as much for attention as for the rest. Items, in descending order and ties by doc_id and piece_no, go to the cheapest container with room. The items are spread by hash over groups that each need about GROUP containers, so a task holds a bounded number of sizes and numbers, whatever the sources' sizes; at most the last container of a group stays underfilled for that. Null and empty texts are in no container. Repeated rows are items of their own. Empty input: no rows.
+    The cost of an item of n tokens is linear * n + quadratic * n^2; quadratic defaults to 1 / capacity, at which a full-size item costs as much for attention as for the rest. Items, in descending order and ties by doc_id and piece_no, go to the cheapest container with room. The items, repeated rows too, are spread by hash over groups that each need about GROUP containers, so a task holds a bounded number of sizes and numbers, whatever the sources' sizes; at most the last container of a group stays underfilled for that. Null and empty texts are in no container. Repeated rows are items of their own. Empty input: no rows.
     """
     quadratic = 1.0 / capacity if quadratic is None else quadratic
     items = stored(split_long(docs, capacity, 0, ranks, keep_short=True, with_text=False, cut=full_pieces).select("doc_id", "piece_no", "start_char", "end_char", "n_tokens"), "items")
@@ -92,5 +92,6 @@ def pack(docs: DataFrame, capacity: int, ranks: str = RANKS, linear: float = 1.0
         return part.drop(columns="grp")
 
     ship(items.sparkSession)
-    spread = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece_no", "n_tokens"), F.lit(groups)))
+    # The row's place in the stored table spreads repeated rows as well.
+    spread = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece_no", "n_tokens", F.col("_metadata.row_index")), F.lit(groups)))
     return spread.groupBy("grp").applyInPandas(run, "doc_id long, piece_no int, start_char long, end_char long, n_tokens int, container long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.identity import SQL_KEYED, with_identity
@@ -10,7 +10,7 @@ from barloom.llm.fusion import fuse
 from barloom.llm.mixing import mix, shares
 from barloom.llm.packing import pack
 from barloom.llm.splitting import split_long
-from barloom.llm.tokens import capacity
+from barloom.llm.tokens import canonical_source, capacity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,21 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.groupBy("container").agg(F.count(F.lit(1)).alias("items"), F.sum("n_tokens").alias("n_tokens"), (F.lit(limit) - F.sum("n_tokens")).alias("unused"))
 
 
+def p7_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many characters of each text lie in containers: all of them, each once."""
+    limit, _ = capacity(_table(spark, sf_dir, "size_limits"), "standard")
+    return pack(_table(spark, sf_dir, "documents"), limit).groupBy("doc_id").agg(F.sum(F.col("end_char") - F.col("start_char")).alias("chars"))
+
+
+def p7_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many containers hold more than their capacity: none."""
+    return p7_containers(spark, sf_dir).agg(F.count(F.when(F.col("unused") < 0, 1)).alias("over_capacity"))
+
+
+P7_WHOLE_SQL = "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE text <> ''"
+P7_WITHIN_SQL = "SELECT CAST(0 AS BIGINT) AS over_capacity"
+
+
 # -- 8
 
 
@@ -74,6 +89,18 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(draw, there, targets)
 
 
+def p8_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target sources that have texts, and whether none of their texts is drawn more often than allowed."""
+    targets = _table(spark, sf_dir, "mix_targets")
+    caps = targets.groupBy(canonical_source(F.col("source")).alias("source")).agg(F.max("max_repeats").alias("cap"))
+    got = p8_shares(spark, sf_dir).where("tokens_there > 0").join(F.broadcast(caps), "source")  # at most a row a target source
+    return got.select("source", (F.col("most_copies") <= F.col("cap")).alias("within_cap"))
+
+
+_SQL_SOURCE = "regexp_replace(lower(trim(regexp_replace(source, '[\\s\\p{Z}]+', ' ', 'g'))), '[ -]', '_', 'g')"
+P8_CAPS_SQL = f"SELECT DISTINCT {_SQL_SOURCE} AS source, true AS within_cap FROM mix_targets WHERE {_SQL_SOURCE} IN (SELECT {_SQL_SOURCE} FROM documents WHERE text <> '')"
+
+
 # -- 9
 
 
@@ -92,5 +119,16 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir)
 
 
-QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p7_packed": p7_packed, "p7_containers": p7_containers, "p8_draw": p8_draw, "p8_shares": p8_shares, "p9_found": p9_found, "p9_pieces": p9_pieces}
-SQL = {"p3_found": P3_FOUND_SQL}
+def p9_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The characters of each text that its pieces cover without their overlaps, the places where a piece doesn't go on where the one before ended, and the pieces beyond the limit; texts within it are one piece."""
+    limit, overlap = capacity(_table(spark, sf_dir, "size_limits"), "standard")
+    cut = split_long(_table(spark, sf_dir, "documents"), limit, overlap, keep_short=True, with_text=False)
+    goes_on = F.coalesce(F.lag("end_char").over(Window.partitionBy("doc_id").orderBy("piece_no")), F.lit(0)) == F.col("core_char")
+    each = cut.withColumn("breaks", F.when(goes_on, 0).otherwise(1))
+    return each.groupBy("doc_id").agg(F.sum(F.col("end_char") - F.col("core_char")).alias("chars"), F.sum("breaks").alias("breaks"), F.count(F.when(F.col("n_tokens") > limit, 1)).alias("over_limit"))
+
+
+P9_WHOLE_SQL = "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS breaks, CAST(0 AS BIGINT) AS over_limit FROM documents WHERE text <> ''"
+
+QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p7_packed": p7_packed, "p7_containers": p7_containers, "p7_whole": p7_whole, "p7_within": p7_within, "p8_draw": p8_draw, "p8_shares": p8_shares, "p8_caps": p8_caps, "p9_found": p9_found, "p9_pieces": p9_pieces, "p9_whole": p9_whole}
+SQL = {"p3_found": P3_FOUND_SQL, "p7_whole": P7_WHOLE_SQL, "p7_within": P7_WITHIN_SQL, "p8_caps": P8_CAPS_SQL, "p9_whole": P9_WHOLE_SQL}

@@ -18,13 +18,17 @@ from barloom.session import ship
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before merges, as published with this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Longer texts are encoded in stretches of about so many characters.
-STRETCH = 100_000
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Longer texts are encoded in stretches of about so many characters, and longer runs of white space as a piece of their own, which the pattern's matcher could not hold.
+STRETCH, BLANK_RUN = 100_000, 2_000
+# The pattern's white space, and letters, digits and marks on whose classes every version of Unicode agrees. Between two classes the pattern always splits, but for letters after white space or after an apostrophe.
+_WHITE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LETTERS, _DIGITS, _MARKS = "A-Za-z\u0430-\u044f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3", "0-9", "!-&(-/:-@\\[-`{-~，。、；：？！「」"
+_SAFE = re.compile(f"(?<=[^{_WHITE}])(?=[{_WHITE}])|(?<=[{_LETTERS}])(?=['{_DIGITS}{_MARKS}])|(?<=[{_DIGITS}])(?=['{_LETTERS}{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}{_DIGITS}])")
+_BLANKS = re.compile(f"[{_WHITE}]{{{BLANK_RUN},}}")
 
 
 class Tokenizer:
-    """Encodes a text in stretches that end before a single space between two words, where the pattern always splits, so counts equal those of the text in one go. A stretch without such a place is cut hard at STRETCH characters."""
+    """Encodes a text in stretches that end where the pattern always splits, so tokens equal those of the text in one go; a run of one class, however long, is never cut."""
 
     def __init__(self, ranks: str):
         import tiktoken
@@ -36,22 +40,37 @@ class Tokenizer:
         for k, v in table.items():
             self.length[v] = len(k)
 
-    def stretches(self, text: str) -> Iterator[str]:
+    def _end(self, text: str, at: int, end: int) -> int:
+        """Where a stretch from at ends: the last safe place within STRETCH, or else the first one after it."""
+        step = 1_000
+        for hi in range(at + STRETCH, at + STRETCH // 2, -step):
+            places = [m.start() for m in _SAFE.finditer(text, hi - step, hi)]
+            if places and at < places[-1] < end:
+                return places[-1]
+        m = _SAFE.search(text, at + STRETCH)
+        return min(m.start(), end) if m else end
+
+    def _encoded(self, text: str) -> Iterator[list[int]]:
+        if len(text) <= BLANK_RUN:
+            yield self.enc.encode_ordinary(text)
+            return
         at = 0
-        while len(text) - at > STRETCH:
-            m = None
-            for m in _SAFE.finditer(text, at + STRETCH // 2, at + STRETCH):  # noqa: B007
-                pass
-            end = m.start() if m else at + STRETCH
-            yield text[at:end]
-            at = end
-        yield text[at:]
+        # All of a run of white space but its last character before a word is one piece of the pattern.
+        runs = [(m.start(), m.end() if m.end() == len(text) else m.end() - 1) for m in _BLANKS.finditer(text)]
+        for a, b in [*runs, (len(text), len(text))]:
+            while at < a:
+                end = self._end(text, at, a) if a - at > STRETCH else a
+                yield self.enc.encode_ordinary(text[at:end])
+                at = end
+            if a < b:
+                yield self.enc._encode_single_piece(text[a:b])
+            at = b
 
     def count(self, text: str | None) -> int:
-        return sum(len(self.enc.encode_ordinary(x)) for x in self.stretches(text)) if text else 0
+        return sum(map(len, self._encoded(text))) if text else 0
 
     def ids(self, text: str) -> list[int]:
-        return [i for x in self.stretches(text) for i in self.enc.encode_ordinary(x)]
+        return [i for x in self._encoded(text) for i in x]
 
     def ends(self, text: str, ids: list[int] | None = None) -> np.ndarray:
         """Byte positions at which the tokens of the text, ids if they are known, end."""

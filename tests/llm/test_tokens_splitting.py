@@ -159,3 +159,28 @@ def test_counts(spark, tok, monkeypatch):
     assert tokens.capacity(limits, "p") == (10, 0)
     with pytest.raises(ValueError):
         tokens.capacity(limits, "q")
+
+
+def test_long_texts_are_counted_as_in_one_go(tok, monkeypatch):
+    """No text changes its tokens by its length: a megabyte of Chinese, base64 and compact JSON, long runs of one class, white space."""
+    import base64
+    import random
+
+    rnd = random.Random(41)
+    cases = {
+        "zh": "".join(rnd.choice("的一是在不了有和人这中大为上个国我以要他时来用们，。") for _ in range(350_000)),
+        "zh without marks": "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(150_000)),
+        "base64": base64.b64encode(rnd.randbytes(800_000)).decode(),
+        "json": "[" + ",".join(f'{{"k{i}":"it\'s","v":{i * 7}}}' for i in range(40_000)) + "]",
+        "letters": "ab" * 150_000,
+        "contractions": " ".join(rnd.choice(["it's", "don't", "a1", "x-y", "字！", "'tis", "1'2", "\n\n"]) for _ in range(100_000)),
+    }
+    for name, text in cases.items():
+        assert tok.ids(text) == tok.enc.encode_ordinary(text), name
+    for text in ("a" + " " * 5000 + "b", "a" + "\n" * 3000, " \t" * 2500 + "\u3000x", " " * 4000):
+        assert tok.ids(text) == tok.enc.encode_ordinary(text)
+    assert tok.count(" " * 1_000_000 + "x") == 1_000_000  # more than the matcher can hold in one go
+    monkeypatch.setattr(tokens, "STRETCH", 60)
+    monkeypatch.setattr(tokens, "BLANK_RUN", 3)
+    for name, text in cases.items():
+        assert tok.ids(text[:20_000]) == tok.enc.encode_ordinary(text[:20_000]), name
