@@ -5,12 +5,16 @@ The grid holds every slot that a catalog of periods promises for a source. Readi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.intervals import ms_of
 from barloom.session import small, stored
 
+#: Slots that a task makes.
+TASK_SLOTS = 500_000
 OBSERVED, FILLED, UNSUPPORTED = "observed", "filled", "unsupported"
 
 
@@ -27,8 +31,11 @@ def promised_slots(catalog: DataFrame, group: str = "interval", source: str = "s
     first = F.try_to_timestamp(F.concat("period", F.when(F.length("period") == 7, "-01").otherwise("")), F.lit("yyyy-MM-dd"))
     each = days.unionByName(listed.where(~is_day)).withColumn("first", F.to_date(first)).where("first is not null")
     last = F.when(F.length("period") == 7, F.last_day("first")).otherwise(F.col("first"))
-    # A row a day first, spread over the tasks, so that no task makes the slots of whole months.
-    by_day = each.select(source, group, "ms", F.explode(F.sequence("first", last)).alias("day")).repartition(source, group, "day")
+    # A row a day first, spread over as many tasks as the slots ask for, so that no task makes the slots of whole months.
+    each = each.withColumn("last", last)
+    slots = each.agg(F.sum((F.datediff("last", "first") + 1) * (86_400_000 / F.col("ms")))).first()[0] or 0
+    by_day = each.select(source, group, "ms", F.explode(F.sequence("first", "last")).alias("day"))
+    by_day = by_day.repartition(max(1, math.ceil(slots / TASK_SLOTS)), source, group, "day")
     start = F.unix_date("day").cast("long") * 86_400_000
     return by_day.select(source, group, F.explode(F.sequence(start, start + 86_400_000 - F.col("ms"), F.col("ms"))).alias("slot"))
 

@@ -19,9 +19,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from barloom.operators.catalog import verified_archives
 from barloom.schema import BAR, CSV
 from barloom.session import ship
+from barloom.storage import arrow_place
 
-#: Bytes of CSV that are handed on at a time.
-BLOCK = 8 << 20
+#: Bytes of CSV that are handed on at a time, and the most tasks that files are spread over.
+BLOCK, TASKS = 8 << 20, 20_000
 
 
 def _lines(content: bytes) -> Iterator[list[str]]:
@@ -34,7 +35,8 @@ def _lines(content: bytes) -> Iterator[list[str]]:
             rest = b""
             while block := f.read(BLOCK):
                 *whole, rest = (rest + block).split(b"\n")
-                yield [x.decode("utf-8", "replace") for x in whole]
+                if whole:
+                    yield [x.decode("utf-8", "replace") for x in whole]
             yield [rest.decode("utf-8", "replace")]
 
 
@@ -42,14 +44,12 @@ def read_zip_lines(spark: SparkSession, specs: DataFrame) -> DataFrame:
     """(symbol, interval, archive_source, archive_period, source_archive, line_no, line, error) of the archives in specs (symbol, interval, archive_source, archive_period, path). A member is unpacked in blocks, so its size doesn't matter; an archive that can't be read gives one row with an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for b in batches:
             for s in b.itertuples(index=False):
                 head = {"symbol": s.symbol, "interval": s.interval, "archive_source": s.archive_source, "archive_period": s.archive_period, "source_archive": s.path}
                 at = 0
                 try:
-                    system, place = fs.FileSystem.from_uri(s.path if "://" in s.path else "file://" + s.path.removeprefix("file:"))
+                    system, place = arrow_place(s.path)
                     with system.open_input_stream(place) as f:
                         content = f.read()
                     for lines in _lines(content):
@@ -61,7 +61,13 @@ def read_zip_lines(spark: SparkSession, specs: DataFrame) -> DataFrame:
     ship(spark)
     shape = "symbol string, interval string, archive_source string, archive_period string, source_archive string, line_no long, line string, error string"
     cols = specs.select("symbol", "interval", "archive_source", "archive_period", "path")
-    return cols.repartition(F.col("path")).mapInPandas(run, shape)
+    return spread(cols, "path").mapInPandas(run, shape)
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows that each stand for a file, over as many tasks as their counted number asks for, whatever their few bytes: a row a task up to TASKS, then alike many in each."""
+    n = rows.count()
+    return rows.repartition(max(1, min(n, TASKS)), F.xxhash64(key)) if n > 1 else rows
 
 
 def parse_lines(lines: DataFrame, keep_errors: bool = False) -> DataFrame:
@@ -107,22 +113,19 @@ def verify_files(spark: SparkSession, records: DataFrame) -> DataFrame:
 
         from pyarrow import fs
 
-        def opened(p: str):
-            return fs.FileSystem.from_uri(p if "://" in p else "file://" + p.removeprefix("file:"))
-
         for b in batches:
             status, sizes = [], []
             for zp, cp in zip(b["local_zip_path"], b["local_checksum_path"], strict=True):
                 size = None
                 try:
-                    system, place = opened(zp)
+                    system, place = arrow_place(zp)
                     info = system.get_file_info(place)
                     if info.type == fs.FileType.NotFound:
                         status.append("missing_zip")
                         sizes.append(None)
                         continue
                     size = info.size
-                    system2, place2 = opened(cp)
+                    system2, place2 = arrow_place(cp)
                     if system2.get_file_info(place2).type == fs.FileType.NotFound:
                         status.append("missing_checksum")
                         sizes.append(size)
@@ -142,7 +145,7 @@ def verify_files(spark: SparkSession, records: DataFrame) -> DataFrame:
     ship(spark)
     rows = records.drop("checksum_status", "file_size")
     shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", checksum_status string, file_size long"
-    return rows.mapInPandas(run, shape)
+    return spread(rows, "local_zip_path").mapInPandas(run, shape)
 
 
 # -- listings
@@ -256,11 +259,28 @@ def archive_symbols(monthly: DataFrame, daily: DataFrame, limit: int = 0) -> Dat
 def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
     """Fetches the archives of catalog records and their checksums in parallel; returns the records with download_status, checksum_status, file_size and retry_count.
 
-    A record decided as skip is skipped_daily_overlap; an archive whose file is there and fits its checksum is not fetched again (skipped_existing_verified). Files are put in place by a rename after the checksum held, so a task that runs twice does no harm. A missing archive or checksum, and one that doesn't fit, are statuses, not errors."""
+    A record decided as skip is skipped_daily_overlap; an archive whose file is there and fits its checksum is not fetched again (skipped_existing_verified). local_zip_path and local_checksum_path lie on a file system that all executors share (spark.checkpoint.dir names one), in any notation Arrow reads. Files are put in place by a rename after the checksum held, so a task that runs twice does no harm. A missing archive or checksum, and one that doesn't fit, are statuses, not errors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
-        import os
+        import uuid
+
+        from pyarrow import fs
+
+        def there(p: str) -> bytes | None:
+            system, place = arrow_place(p)
+            if system.get_file_info(place).type == fs.FileType.NotFound:
+                return None
+            with system.open_input_stream(place) as f:
+                return f.read()
+
+        def put(p: str, content: bytes) -> None:
+            system, place = arrow_place(p)
+            system.create_dir(place.rpartition("/")[0], recursive=True)
+            tmp = f"{place}.{uuid.uuid4().hex}.tmp"
+            with system.open_output_stream(tmp) as f:
+                f.write(content)
+            system.move(tmp, place)
 
         for b in batches:
             rows = []
@@ -269,12 +289,11 @@ def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
                 if r.download_decision == "skip":
                     rows.append(("skipped_daily_overlap", "not_attempted", None, 0))
                     continue
-                if os.path.exists(z) and os.path.exists(c):
-                    with open(z, "rb") as f, open(c) as g:
-                        words = g.read().split()
-                        if words and hashlib.file_digest(f, "sha256").hexdigest() == words[0].lower():
-                            rows.append(("skipped_existing_verified", "skipped_existing_verified", os.path.getsize(z), 0))
-                            continue
+                if (said := there(c)) is not None and (data := there(z)) is not None:
+                    words = said.decode().split()
+                    if words and hashlib.sha256(data).hexdigest() == words[0].lower():
+                        rows.append(("skipped_existing_verified", "skipped_existing_verified", len(data), 0))
+                        continue
                 tries = [0]
                 status = "missing_zip"
                 try:
@@ -285,11 +304,8 @@ def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
                     if (text.split() or [""])[0].lower() != hashlib.sha256(data).hexdigest():
                         rows.append(("failed", "failed", len(data), tries[0]))
                         continue
-                    for path, content in ((z, data), (c, text.encode())):
-                        os.makedirs(os.path.dirname(path), exist_ok=True)
-                        with open(f"{path}.{os.getpid()}.tmp", "wb") as f:
-                            f.write(content)
-                        os.replace(f.name, path)
+                    put(z, data)
+                    put(c, text.encode())
                     rows.append(("downloaded", "passed", len(data), tries[0]))
                 except FileNotFoundError:
                     rows.append(("failed", status, None, tries[0]))
@@ -301,4 +317,4 @@ def download(records: DataFrame, base: str, retries: int = 3) -> DataFrame:
     ship(records.sparkSession)
     rows = records.drop("download_status", "checksum_status", "file_size", "retry_count")
     shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", download_status string, checksum_status string, file_size long, retry_count int"
-    return rows.repartition(F.col("source_path")).mapInPandas(run, shape)
+    return spread(rows, "source_path").mapInPandas(run, shape)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
@@ -14,9 +15,12 @@ from barloom.operators.conflicts import last_wins, upsert, upsert_counts
 from barloom.operators.quality import with_quarantine
 from barloom.schema import BAR, CURRENT, DATASET_VERSION, KEY, SCHEMA_VERSION, SEED
 from barloom.session import ship
-from barloom.storage import Files
+from barloom.sources.archives import spread
+from barloom.storage import Files, arrow_place
 
 BAR_COLUMNS = BAR.fieldNames()
+#: Name of an upsert's journal, before its number.
+JOURNAL = "__upsert_"
 
 
 class LayoutError(ValueError):
@@ -74,12 +78,15 @@ def _write_current(rows: DataFrame, root: str, mode: str = "dynamic") -> None:
 
 
 def upsert_current(spark: SparkSession, root: str, incoming: DataFrame, arrival: str = "arrival") -> list[dict]:
-    """Puts bars (schema.BAR and an arrival number) over the current dataset: of each key the last received one stays. Only the partitions that the bars belong to are read and rewritten. Returns the counts of each."""
+    """Puts bars (schema.BAR and an arrival number) over the current dataset: of each key the last received one stays. Only the partitions that the bars belong to are read and rewritten. Returns the counts of each.
+
+    The new partitions are written aside; then a journal that names them makes the upsert count, and they are put in place by renames. A crash before the journal changes nothing; after it, the next writer, or recover(), finishes the renames. One writer at a time: a dataset is fed by one stream."""
     rows = _current_rows(incoming).withColumn("_arrival", F.col(arrival).cast("long"))
     where = [(r[0], r[1], r[2]) for r in rows.select("symbol", "year", "month").distinct().collect()]
     files = Files(spark, root)
-    paths = [f"{root}/symbol={s}/year={y}/month={m}" for s, y, m in where]
-    there = [p for p in paths if files.exists(p[len(root) :].lstrip("/"))]
+    recover(spark, root)
+    listed = {(s, y): set(files.names(f"symbol={s}", f"year={y}")) for s, y in {(s, y) for s, y, _ in where}}
+    there = [f"{root}/symbol={s}/year={y}/month={m}" for s, y, m in where if f"month={m}" in listed[s, y]]
     cols = [c for c in CURRENT if c != "month"] + ["symbol", "year", "month", "_arrival"]
     if there:
         old = spark.read.schema(_schema(True, True)).option("basePath", root).parquet(*there).withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0")).withColumn("_arrival", F.col("open_time"))
@@ -87,11 +94,36 @@ def upsert_current(spark: SparkSession, root: str, incoming: DataFrame, arrival:
         old = rows.limit(0)
     old, rows = old.select(*cols), rows.select(*cols)
     counts = [r.asDict() for r in upsert_counts(old, rows, KEY, ["symbol", "year", "month"]).collect()]
-    # A dynamic overwrite writes aside and then replaces the touched partitions, so reading them in the same job is safe.
-    _write_current(upsert(old, rows, KEY, "_arrival"), root)
+    own = uuid.uuid4().hex[:12]
+    _write_current(upsert(old, rows, KEY, "_arrival"), f"{root}/__stage_upsert_{own}", "static")
+    files.write_new(json.dumps([f"symbol={s}/year={y}/month={m}" for s, y, m in where]), f"{JOURNAL}{own}.json")
+    _put_in_place(files, own)
     return counts
 
 
+def _put_in_place(files: Files, own: str) -> None:
+    """The renames of an upsert whose journal is written; may be run again after a crash at any point."""
+    stage, old = f"__stage_upsert_{own}", f"__backup_upsert_{own}"
+    for part in json.loads(files.read_text(f"{JOURNAL}{own}.json")):
+        if files.exists(stage, part):
+            if files.exists(part) and not files.rename([part], [old, part]):
+                raise LayoutError(f"cannot set {part} aside")
+            if not files.rename([stage, part], [part]):
+                raise LayoutError(f"cannot put {part} in place")
+    files.delete(f"{JOURNAL}{own}.json")
+    files.delete(stage)
+    files.delete(old)
+
+
+def recover(spark: SparkSession, root: str) -> int:
+    """Finishes the upserts that a crash left between their journal and its end; how many."""
+    files = Files(spark, root)
+    open_ = [n[len(JOURNAL) : -5] for n in files.names() if n.startswith(JOURNAL) and n.endswith(".json")]
+    for own in open_:
+        _put_in_place(files, own)
+    return len(open_)
+
+
 def ensure_current(spark: SparkSession, seed: str, current: str, symbols: list[str] | None = None) -> str:
     """Makes the current dataset from the seed once: 'already_initialized', 'initialized', or 'bootstrap_required' when there is no seed. With symbols, only those that are missing are added."""
     have = {n.partition("=")[2] for n in Files(spark, current).names() if n.startswith("symbol=")}
@@ -121,18 +153,17 @@ def probe_files(spark: SparkSession, root: str) -> DataFrame:
     import pandas as pd
 
     ship(spark)
-    files = list_files(spark, root)
+    files = spread(list_files(spark, root), "path")
 
     def run(batches):
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         for b in batches:
             rows = []
             for path, symbol, length in b.itertuples(index=False):
                 head = tail = error = n = None
                 try:
-                    system, place = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+                    system, place = arrow_place(path)
                     with system.open_input_file(place) as f:
                         head = f.read(4)
                         if length >= 4:

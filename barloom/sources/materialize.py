@@ -37,7 +37,7 @@ def done_symbols(spark: SparkSession, root: str) -> DataFrame:
 def materialize(spark: SparkSession, units: DataFrame, root: str, interval: str, strict: bool = False, resume: bool = False) -> dict:
     """Reads the archives in units (symbol, interval, archive_source, archive_period, path), resolves conflicts, sets invalid bars aside and writes the seed dataset under root; returns the totals.
 
-    Counts of duplicates, conflicts and days over the cap are of all resolved bars; row_count, dates and years of what was written. quarantined counts a bar once that fails both rules. With resume, symbols of an earlier run are skipped; strict raises before anything is written if there is a conflict, an inconsistency, a day over the cap or an invalid bar. Symbols whose archives hold no bars have no report.
+    Counts of duplicates, conflicts and days over the cap are of all resolved bars; row_count, dates and years of what was written. quarantined counts a bar once that fails both rules. Two small files tell about it: manifests/runs/RUN.json what this run did, manifests/RUN.json what the dataset then holds. With resume, symbols of an earlier run are skipped; strict raises before anything is written if there is a conflict, an inconsistency, a day over the cap or an invalid bar. Symbols whose archives hold no bars have no report.
     """
     bars_per_day(interval)
     units = units.where(F.col("interval") == interval)
@@ -55,14 +55,29 @@ def materialize(spark: SparkSession, units: DataFrame, root: str, interval: str,
     )
     days = over_cap(marked).groupBy("symbol").agg(F.count(F.lit(1)).alias("over_cap_days"))
     report = stored(each.join(days, "symbol", "left").withColumn("over_cap_days", F.coalesce("over_cap_days", F.lit(0))), "report")
-    kinds = ["duplicates", "conflicts", "inconsistent", "over_cap_days", "ohlc_bad", "time_bad", "quarantined", "row_count", "files"]
-    totals = report.agg(F.count(F.lit(1)).alias("symbols"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds], F.min("date_min").alias("date_min"), F.max("date_max").alias("date_max")).first().asDict()
+    totals = _totals(report)
     if strict and any(totals[k] for k in ("conflicts", "inconsistent", "over_cap_days", "quarantined")):
         raise StrictError(json.dumps(totals))
     quarantined = write_seed(got.select(*BAR.fieldNames()), root)
-    run = time.strftime("%Y%m%dT%H%M%S", time.gmtime())
+    run = f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}"
     if totals["quarantined"]:
         quarantined.drop("year").write.mode("append").json(f"{root}/reports/quarantine/{run}")
     report.coalesce(1).write.mode("overwrite").json(f"{root}/manifests/symbols/run={run}")
-    Files(spark, root).write_new(json.dumps(totals | {"interval": interval, "run": run}), "manifests", f"{run}.json")
+    whole = _totals(done_symbols(spark, root)) | {"interval": interval, "run": run}
+    files = Files(spark, root)
+    for where, said in ((["runs", f"{run}.json"], totals | {"interval": interval, "run": run, "resumed": resume}), ([f"{run}.json"], whole)):
+        if not files.write_new(json.dumps(said), "manifests", *where):
+            raise RuntimeError(f"there is a manifest of run {run} already")
     return totals
+
+
+def _totals(report: DataFrame) -> dict:
+    kinds = ["duplicates", "conflicts", "inconsistent", "over_cap_days", "ohlc_bad", "time_bad", "quarantined", "row_count", "files"]
+    return report.agg(F.count(F.lit(1)).alias("symbols"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds], F.min("date_min").alias("date_min"), F.max("date_max").alias("date_max"), F.min("year_min").alias("year_min"), F.max("year_max").alias("year_max")).first().asDict()
+
+
+def read_manifest(spark: SparkSession, root: str) -> dict | None:
+    """The latest manifest of a dataset: totals over all its symbols, whichever run wrote each; None if nothing was materialised yet."""
+    files = Files(spark, root)
+    names = [n for n in files.names("manifests") if n.endswith(".json")]
+    return json.loads(files.read_text("manifests", names[-1])) if names else None

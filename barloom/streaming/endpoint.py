@@ -5,17 +5,20 @@ from __future__ import annotations
 import http.server
 import itertools
 import json
-import os
 import threading
 import time
+import uuid
+
+from barloom.storage import arrow_place
 
 
 class Inbox:
-    """Collects payloads and puts them into a folder as files, each by one rename, so a stream never sees half of one."""
+    """Collects payloads and puts them into a folder as files, each by one rename, so a stream never sees half of one. folder: on a file system that the executors of the stream share, in any notation Arrow reads; several inboxes may fill one folder."""
 
     def __init__(self, folder: str, most: int = 1000):
-        self.folder, self.most = folder, most
-        os.makedirs(folder, exist_ok=True)
+        self.most = most
+        self._fs, self._place = arrow_place(folder)
+        self._fs.create_dir(self._place, recursive=True)
         self._lock, self._lines, self._n = threading.Lock(), [], itertools.count(time.time_ns())
 
     def add(self, payload: str) -> None:
@@ -26,11 +29,10 @@ class Inbox:
 
     def _flush(self) -> None:
         if self._lines:
-            name = f"{next(self._n)}.json"
-            tmp = os.path.join(self.folder, f".{name}")
-            with open(tmp, "w") as f:
-                f.write("\n".join(self._lines) + "\n")
-            os.replace(tmp, os.path.join(self.folder, name))
+            name = f"{next(self._n)}-{uuid.uuid4().hex[:8]}.json"
+            with self._fs.open_output_stream(f"{self._place}/.{name}") as f:
+                f.write(("\n".join(self._lines) + "\n").encode())
+            self._fs.move(f"{self._place}/.{name}", f"{self._place}/{name}")
             self._lines = []
 
     def flush(self) -> None:

@@ -30,6 +30,23 @@ def test_against_brute_force(spark):
     assert got == {i: brute(versions, e, t) for i, e, t in events}
 
 
+def test_busy_entities_and_large_tables(spark, monkeypatch):
+    """A busy entity shortens its own period only; the same states come without broadcasts."""
+    from barloom import session
+
+    versions = [("busy", 1000 * i, 1000 * (i + 1), f"s{i}") for i in range(300)] + [("calm", 0, 10**11, "one"), ("calm", 10**11, None, "two")]
+    log = asknown.change_log(spark.createDataFrame(versions, V))
+    lengths, n = asknown.busy_lengths(log, 8)
+    assert n == 1 and lengths.first().entity == "busy" and lengths.first().length < asknown.LONGEST
+    rnd = random.Random(3)
+    events = [(i, rnd.choice(["busy", "calm"]), rnd.choice([rnd.randrange(310_000), 10**11 - 1, 10**11])) for i in range(300)]
+    want = {i: brute(versions, e, t) for i, e, t in events}
+    for size in (session.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(session, "BROADCAST_BYTES", size)
+        got = {r.id: r.state for r in asknown.as_known(spark.createDataFrame(events, E), spark.createDataFrame(versions, V), max_log=8).collect()}
+        assert got == want
+
+
 def test_edges(spark):
     v = spark.createDataFrame([("a", 10, 20, "x"), ("a", 20, None, "y"), ("a", 5, 5, "nothing"), (None, 1, None, "q"), ("b", None, 3, "q")], V)
     ev = spark.createDataFrame([(1, "a", 9), (2, "a", 10), (3, "a", 20), (4, None, 10), (5, "a", None), (5, "a", None), (6, "b", 2)], E)

@@ -3,6 +3,7 @@ import json
 from barloom import cli
 from barloom.operators.validation import dataset_checks
 from barloom.sources import lake
+from barloom.sources.materialize import read_manifest
 from tests.test_sources import HEAD, T0, M, line, put_zip
 
 
@@ -20,7 +21,10 @@ def test_archives_to_dataset(spark, tmp_path, capsys):
     again = ("materialize", "--interval", "1m", "--files", str(tmp_path / "files.jsonl"), "--raw", str(raw), "--out", seed)
     assert say(*again, "--strict")[0] == 1
     assert say(*again, "--resume")[1]["symbols"] == 0
-    manifest = json.loads(next((tmp_path / "seed" / "manifests").glob("*.json")).read_text())
+    said = [json.loads(p.read_text()) for p in sorted((tmp_path / "seed" / "manifests").glob("*.json"))]
+    assert len(said) == 2 and all((m["row_count"], m["symbols"], m["files"]) == (2, 1, 1) for m in said)  # the resumed run describes the whole dataset
+    assert sorted(json.loads(p.read_text())["row_count"] for p in (tmp_path / "seed" / "manifests" / "runs").glob("*.json")) == [0, 2]
+    manifest = read_manifest(spark, seed)
     checks = dataset_checks(spark, lake.read_bars(spark, seed, current=False), lake.list_files(spark, seed), manifest, "d").collect()
     assert len(checks) == 13 and {c.status for c in checks} == {"passed"}
     wrong = dataset_checks(spark, lake.read_bars(spark, seed, current=False), lake.list_files(spark, seed), manifest | {"row_count": 9, "scope": "SAMPLE_OUTPUT"}, "d")

@@ -49,3 +49,17 @@ def test_statuses_and_dirt(spark):
     empty = regular_grid(spark.createDataFrame([], READ), grid)
     assert {r.status for r in empty.collect()} == {"unsupported"}
     assert regular_grid(spark.createDataFrame(rows, READ), grid.limit(0)).count() == 0
+
+
+def test_without_broadcasts(spark, monkeypatch):
+    """The branch that a large run takes gives the same grid."""
+    from barloom import session
+
+    rnd = random.Random(12)
+    rows = [(f"s{s}", "1h", t * 3_600_000, t, 50.0 + s + t / 10) for s in range(6) for t in range(60) if rnd.random() < 0.8]
+    df = spark.createDataFrame(rows, "s string, g string, slot long, `order` long, value double")
+    slots = spark.createDataFrame([(f"s{s}", "1h", t * 3_600_000) for s in range(6) for t in range(60)], "s string, g string, slot long")
+    show = lambda: sorted((r.s, r.slot, r.status, round(r.value, 6) if r.value else None) for r in regular_grid(df, slots).collect())
+    want = show()
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+    assert show() == want and {w[2] for w in want} == {"observed", "filled"}

@@ -200,6 +200,45 @@ def test_seed_current_and_pruning(spark, tmp_path):
     assert read_bars(spark, str(tmp_path / "nothing")).count() == 0
 
 
+def test_archives_run_in_many_tasks(spark, tmp_path):
+    """Files are spread by their number, though their rows are a few bytes and adaptive execution would merge them into one task."""
+    paths = [put_zip(tmp_path / f"{i}.zip", line(T0 + i * M)) for i in range(12)]
+    lines = archives.read_zip_lines(spark, specs(spark, *paths))
+    assert lines.count() == 12 and lines.select(F.spark_partition_id().alias("p")).distinct().count() >= 5
+    assert archives.spread(spark.range(5000), "id").rdd.getNumPartitions() == 5000
+
+
+def test_upsert_survives_a_crash(spark, tmp_path, monkeypatch):
+    """A crash anywhere in the renames leaves bars that the next writer brings in place; one before the journal changes nothing."""
+    from barloom.sources import lake
+    from barloom.storage import Files
+
+    root = str(tmp_path / "cur")
+    upsert_current(spark, root, bars(spark, [("A", T0, 1.0, 1), ("B", T0, 1.0, 1)]))
+    state = lambda: {(r.symbol, r.open_time): r.close for r in read_bars(spark, root).collect()}
+    own = Files.rename
+    for k in range(4):
+        left = [k]
+
+        def rename(self, a, b, left=left):
+            if not left[0]:
+                raise OSError("lost")
+            left[0] -= 1
+            return own(self, a, b)
+
+        monkeypatch.setattr(Files, "rename", rename)
+        new = 10.0 + k
+        with pytest.raises(OSError):
+            upsert_current(spark, root, bars(spark, [("A", T0, new, 1), ("B", T0, new, 1)]))
+        monkeypatch.setattr(Files, "rename", own)
+        assert lake.recover(spark, root) == 1 and lake.recover(spark, root) == 0
+        assert state() == {("A", T0): new, ("B", T0): new}
+    monkeypatch.setattr(Files, "write_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        upsert_current(spark, root, bars(spark, [("A", T0, 99.0, 1)]))
+    assert lake.recover(spark, root) == 0 and state() == {("A", T0): 13.0, ("B", T0): 13.0}
+
+
 def test_migration(spark, tmp_path):
     root = str(tmp_path / "cur")
     write_seed(bars(spark, [("A", T0 + i * M, 2.0, 0) for i in range(5)] + [("B", T0, 1.0, 0)]), root)
