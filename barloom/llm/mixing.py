@@ -83,7 +83,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     total_tokens: the size of the mix; by default, and at most, the largest that the caps allow. Texts whose source is null, blank or not in targets, and null and empty texts, are not drawn. A target source without texts has an actual share of 0, and the others share its part in proportion. Rows that repeat a doc_id are texts of their own with the same number of copies, as far as their sizes agree. Empty docs or targets: nothing is drawn.
     """
     spark = docs.sparkSession
-    sized = stored(docs.select("doc_id", canonical_source(F.col("source")).alias("source"), token_count(F.col("text"), ranks).alias("n")).where("n > 0"), "sized")
+    # The condition comes after the table is stored: before it, it would count every text a second time.
+    sized = stored(docs.select("doc_id", canonical_source(F.col("source")).alias("source"), token_count(F.col("text"), ranks).alias("n")), "sized").where("n > 0")
     sizes = stored(sized.where("source is not null").groupBy("source", "n").count(), "sizes")
     stats = sizes.groupBy("source").agg(F.sum(F.col("count") * F.col("n")).alias("tokens"), F.sum("count").alias("docs"))
     named = targets.select(canonical_source(F.col("source")).alias("source")).distinct()
