@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, what: str) -> str:
-    """A new folder in the shared one. release() deletes it with all others of this process."""
+    """A new folder in the shared one. release() deletes it with all others of this process; scope() with those of a block; what is left goes when the process ends."""
+    if not _made:
+        atexit.unregister(_release_quietly)
+        atexit.register(_release_quietly, spark)
     path = f"{shared_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
     _made.append(path)
     return path
@@ -65,6 +70,23 @@ def release(spark: SparkSession, keep: list[str] | None = None) -> int:
     return len(gone)
 
 
+def _release_quietly(spark: SparkSession) -> None:
+    try:
+        release(spark)
+    except Exception:  # noqa: BLE001 - the session may be gone
+        pass
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the working folders made inside: for a block that writes or collects what it computes."""
+    before = list(_made)
+    try:
+        yield
+    finally:
+        release(spark, before)
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written as a table in the shared folder and read again: cuts the lineage, survives the loss of executors."""
     path = work_dir(df.sparkSession, what)

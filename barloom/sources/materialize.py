@@ -34,10 +34,10 @@ def done_symbols(spark: SparkSession, root: str) -> DataFrame:
     return df.groupBy("symbol").agg(F.max_by(F.struct(*df.columns), "run").alias("r")).select("r.*")
 
 
-def materialize(spark: SparkSession, units: DataFrame, root: str, interval: str, strict: bool = False, resume: bool = False) -> dict:
+def materialize(spark: SparkSession, units: DataFrame, root: str, interval: str, strict: bool = False, resume: bool = False, universe: list[str] | None = None) -> dict:
     """Reads the archives in units (symbol, interval, archive_source, archive_period, path), resolves conflicts, sets invalid bars aside and writes the seed dataset under root; returns the totals.
 
-    Counts of duplicates, conflicts and days over the cap are of all resolved bars; row_count, dates and years of what was written. quarantined counts a bar once that fails both rules. Two small files tell about it: manifests/runs/RUN.json what this run did, manifests/RUN.json what the dataset then holds. With resume, symbols of an earlier run are skipped; strict raises before anything is written if there is a conflict, an inconsistency, a day over the cap or an invalid bar. Symbols whose archives hold no bars have no report.
+    Counts of duplicates, conflicts and days over the cap are of all resolved bars; row_count, dates and years of what was written. quarantined counts a bar once that fails both rules. universe: the symbols of a full output; without them every output is one. Two small files tell about it: manifests/runs/RUN.json what this run did, manifests/RUN.json what the dataset then holds. With resume, symbols of an earlier run are skipped; strict raises before anything is written if there is a conflict, an inconsistency, a day over the cap or an invalid bar. Symbols whose archives hold no bars have no report.
     """
     bars_per_day(interval)
     units = units.where(F.col("interval") == interval)
@@ -63,7 +63,10 @@ def materialize(spark: SparkSession, units: DataFrame, root: str, interval: str,
     if totals["quarantined"]:
         quarantined.drop("year").write.mode("append").json(f"{root}/reports/quarantine/{run}")
     report.coalesce(1).write.mode("overwrite").json(f"{root}/manifests/symbols/run={run}")
-    whole = _totals(done_symbols(spark, root)) | {"interval": interval, "run": run}
+    done = done_symbols(spark, root)
+    lacking = 0 if universe is None else spark.createDataFrame([(s.upper(),) for s in universe], "symbol string").join(done.select("symbol"), "symbol", "left_anti").count()
+    fixed = {"dataset_id": f"bars.{interval}", "query_engine": "spark", "output_format": "parquet", "generated_csv_file_count": 0, "failed_symbol_count": 0, "scope": "SAMPLE_OUTPUT" if lacking else "FULL_OUTPUT"}
+    whole = _totals(done) | fixed | {"interval": interval, "run": run}
     files = Files(spark, root)
     for where, said in ((["runs", f"{run}.json"], totals | {"interval": interval, "run": run, "resumed": resume}), ([f"{run}.json"], whole)):
         if not files.write_new(json.dumps(said), "manifests", *where):

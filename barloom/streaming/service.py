@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,3 +61,43 @@ def stream_groups(symbols: list[str], interval: str, most: int = 1024) -> list[l
 def connection_due(connected_ms: int, now_ms: int, hours: float = 23) -> bool:
     """Whether a connection is old enough to be made anew."""
     return now_ms - connected_ms >= hours * 3_600_000
+
+
+def repair(spark: SparkSession, root: str, seed: str | None, wanted: DataFrame, interval: str, now_ms: int, base: str, fetch: Callable = fetch_answers) -> dict:
+    """One round of the service: what a start does, then the series whose stream is silent. Batches of the API are numbered by the clock, so a round that is run again after a crash has a number of its own."""
+    batch = int(now_ms)
+    out = run_once(spark, root, seed, wanted, interval, now_ms, batch, base, fetch=fetch)
+    return out | {"fallback": stale_fallback(spark, root, wanted, interval, now_ms, batch + 1, base, fetch=fetch)}
+
+
+def reconnecting(connect: Callable[[], object], attempts: int = 5, base_s: float = 1, most_s: float = 60, sleep: Callable = time.sleep):
+    """What connect() gives; a failed attempt is made again after base_s * 2^n seconds, at most most_s."""
+    for n in range(attempts):
+        try:
+            return connect()
+        except OSError:
+            if n == attempts - 1:
+                raise
+            sleep(min(most_s, base_s * 2**n))
+
+
+def serve(spark: SparkSession, root: str, seed: str | None, wanted: DataFrame, interval: str, base: str, inbox, server, rounds: int = 0, every: float = 10, fetch: Callable = fetch_answers, clock: Callable[[], int] | None = None) -> dict:
+    """The live service: the server's webhooks fill the inbox, every `every` seconds it is flushed and streamed into the datasets, then gaps and silent series are repaired through the API. The stream and the repairs take turns in this thread, so the datasets have one writer. rounds: how many; 0 for no end. Returns the counts of the last round."""
+    now = clock or (lambda: int(time.time() * 1000))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    out: dict = {}
+    n = 0
+    try:
+        while not rounds or n < rounds:
+            inbox.flush()
+            router = Router(spark, root, "webhook")
+            rows = spark.readStream.schema("payload string, received_ms long, arrival long").json(f"{root}/in")
+            router.run(rows).awaitTermination()
+            out = repair(spark, root, seed, wanted, interval, now(), base, fetch)
+            n += 1
+            if not rounds or n < rounds:
+                time.sleep(every)
+    finally:
+        server.shutdown()
+        inbox.flush()
+    return {"rounds": n, "last": out}
