@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from barloom.intervals import ms_of
 from barloom.session import small, stored
 
-#: Slots that a task makes.
-TASK_SLOTS = 500_000
+#: Slots that a task makes, and how many spreads from its source's median a value counts.
+TASK_SLOTS, CLIP = 500_000, 4.0
 OBSERVED, FILLED, UNSUPPORTED = "observed", "filled", "unsupported"
 
 
@@ -85,13 +85,13 @@ def factorise(cells: DataFrame, sources: DataFrame, n_sources: int, rank: int, s
     return u, v
 
 
-def regular_grid(readings: DataFrame, slots: DataFrame, rank: int = 2, steps: int = 3, ridge: float = 0.05) -> DataFrame:
+def regular_grid(readings: DataFrame, slots: DataFrame, rank: int = 2, steps: int = 3, ridge: float = 2.0) -> DataFrame:
     """One row (s, g, slot, value, status, n_readings) for each of slots.
 
     readings: (s, g, slot, order, value): source, group, the slot a reading lies in, a number that orders readings of one slot (the last valid one counts), and a positive value or null. slots: the promised (s, g, slot), each once.
 
     status: 'observed' where any reading lies in the slot, whatever its value; its value is exact, the last valid reading, or null if none is valid. 'filled': no reading, and the value is estimated. 'unsupported': no reading and no estimate, because fewer than two other sources have a reading in that slot or the source itself has no more than rank readings in slots that others share; value is null.
-    Values are factorised as logarithms less the source's mean. NaN, infinite, zero and negative values count as readings without value. Rows of readings with a null in s, g or slot fill no slot. Empty readings: every slot is unsupported; empty slots: no rows. Repeated readings, also exact copies, count once. Other columns of either input are ignored.
+    Values are factorised as logarithms less the source's median, in units of its own spread (that of the middle half), at most CLIP of them, so the ridge means the same for calm and wild sources and a wrong value moves little. NaN, infinite, zero and negative values count as readings without value. Rows of readings with a null in s, g or slot fill no slot. Empty readings: every slot is unsupported; empty slots: no rows. Repeated readings, also exact copies, count once. Other columns of either input are ignored.
     """
     valid = F.when((F.col("value") > 0) & ~F.isnan("value") & (F.col("value") < float("inf")), F.col("value"))
     seen = readings.where("s is not null and g is not null and slot is not null").groupBy("s", "g", "slot").agg(F.count(F.lit(1)).alias("n_readings"), F.max_by(valid, F.when(valid.isNotNull(), F.col("order"))).alias("value"))
@@ -100,15 +100,17 @@ def regular_grid(readings: DataFrame, slots: DataFrame, rank: int = 2, steps: in
     # Only slots that at least two sources share tell anything about the sources' relation.
     usable = seen.where("value is not null").select("g", "s", F.col("slot").alias("t"), F.log("value").alias("x"))
     shared = usable.groupBy("g", "t").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("g", "t")
-    means = stored(usable.groupBy("g", "s").agg(F.avg("x").alias("mean")), "means")
+    q = F.percentile_approx("x", [0.25, 0.5, 0.75], 1000)
+    means = stored(usable.groupBy("g", "s").agg(q.alias("q")).select("g", "s", F.col("q")[1].alias("mean"), ((F.col("q")[2] - F.col("q")[0]) / 1.349).alias("scale")), "means")
     n_sources = means.count()
-    cells = stored(usable.join(shared, ["g", "t"], "left_semi").join(small(means, n_sources), ["g", "s"]).select("g", "s", "t", (F.col("x") - F.col("mean")).alias("y")), "cells")
+    y = F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), F.when(F.col("scale") > 0, (F.col("x") - F.col("mean")) / F.col("scale")).otherwise(F.lit(0.0))))
+    cells = stored(usable.join(shared, ["g", "t"], "left_semi").join(small(means, n_sources), ["g", "s"]).select("g", "s", "t", y.alias("y")), "cells")
     u, v = factorise(cells, means.select("g", "s"), n_sources, rank, steps, ridge)
 
     grid = slots.select("s", "g", "slot").join(seen, ["s", "g", "slot"], "left")
     sources = u.where(F.col("un") > rank).join(means, ["g", "s"])
     v = v.where("vn >= 2")
-    est = F.exp(F.col("mean") + sum((F.col(f"u{i}") * F.col(f"v{i}") for i in range(1, rank)), F.col("u0") * F.col("v0")))
+    est = F.exp(F.col("mean") + F.col("scale") * sum((F.col(f"u{i}") * F.col(f"v{i}") for i in range(1, rank)), F.col("u0") * F.col("v0")))
     empty = grid.where("n_readings is null").select("s", "g", "slot").join(small(sources, n_sources, 16 * (rank + 5)), ["g", "s"], "left").join(v.withColumnRenamed("t", "slot"), ["g", "slot"], "left")
     empty = empty.select("s", "g", "slot", est.alias("value"), F.when(est.isNotNull(), FILLED).otherwise(UNSUPPORTED).alias("status"), F.lit(0).cast("long").alias("n_readings"))
     there = grid.where("n_readings is not null").select("s", "g", "slot", "value", F.lit(OBSERVED).alias("status"), "n_readings")
