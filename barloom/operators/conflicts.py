@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.session import stored
+from barloom.session import small, stored
 
+#: Rows of a key that are folded as an array.
+FEW = 256
 #: Rank of an archive's source; a later one may overrule an earlier one.
 SOURCE_RANK = {"monthly": 1, "daily": 2}
 
@@ -20,17 +22,21 @@ def rank_of(source: Column) -> Column:
     return expr
 
 
-def _same(a: str, b: str, values: list[str], types: dict[str, str]) -> Column:
+def _equal(a: Column, b: Column, values: list[str], types: dict[str, str]) -> Column:
     """Equal in every value; NaN equals nothing, null equals null."""
-    each = [F.col(f"{a}.{v}").eqNullSafe(F.col(f"{b}.{v}")) & (~F.coalesce(F.isnan(F.col(f"{a}.{v}")), F.lit(False)) if types[v] == "double" else F.lit(True)) for v in values]
+    each = [a[v].eqNullSafe(b[v]) & (~F.coalesce(F.isnan(a[v]), F.lit(False)) if types[v] == "double" else F.lit(True)) for v in values]
     return reduce(lambda x, y: x & y, each)
 
 
+def _same(a: str, b: str, values: list[str], types: dict[str, str]) -> Column:
+    return _equal(F.col(a), F.col(b), values, types)
+
+
 def resolve_archives(rows: DataFrame, key: list[str], values: list[str], source: str = "archive_source", period: str = "archive_period", order: str = "order") -> DataFrame:
     """One row a key with winner (a struct of all columns of rows) and the counters duplicates, conflicts, inconsistent.
 
     Rows of a key in order of source rank, period and `order` are folded: the first is the base; a later row with the base's values is a duplicate; the first daily row that differs from a monthly base overrules it (one conflict), and later rows are held against that one instead; any other row that differs is inconsistent and changes nothing. A daily row equal to the monthly base is only a duplicate, so the monthly provenance stays.
-    `order` should be unique within a key; rows that tie in it too are ordered by their values. Nulls in a key make groups of their own. Everything is partial sums and minima, so a key may have any number of rows.
+    `order` should be unique within a key; rows that tie in it too are ordered by their values. Nulls in a key make groups of their own. The rows of a key are brought together once and folded as an array; only keys with more than FEW rows, which are counted first, go by partial sums and minima instead, so a key may have any number of rows.
     """
     types = dict(rows.dtypes)
     cols = rows.columns
@@ -38,10 +44,34 @@ def resolve_archives(rows: DataFrame, key: list[str], values: list[str], source:
     keyed = rows.select(*[F.col(k).alias(f"_k_{k}") for k in key], place.alias("r"))
     on = [f"_k_{k}" for k in key]
     eq = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in on])
-    # Most keys have one row: only the others go through the fold.
-    many = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    single = keyed.join(many, eq(keyed, many), "left_anti").select(*on, F.col("r").alias("base"), F.lit(None).cast(keyed.schema["r"].dataType).alias("star"), *[F.lit(0).cast("long").alias(c) for c in ("duplicates", "conflicts", "inconsistent")])
-    keyed = stored(keyed.join(many, eq(keyed, many), "left_semi"), "conflicts")
+    many = stored(keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).drop("n"), "hot")
+    n_many = many.count()
+    few = keyed.join(small(many, n_many, 128), eq(keyed, many), "left_anti") if n_many else keyed
+    out = _folded(few, on, values, types)
+    if n_many:
+        out = out.unionByName(_by_sums(keyed.join(small(many, n_many, 128), eq(keyed, many), "left_semi"), on, values, types))
+    return out.select(*[F.col(f"_k_{k}").alias(k) for k in key], F.struct(*[F.col("winner")[c].alias(c) for c in cols]).alias("winner"), "duplicates", "conflicts", "inconsistent")
+
+
+def _folded(keyed: DataFrame, on: list[str], values: list[str], types: dict[str, str]) -> DataFrame:
+    """The fold itself, over the sorted array of a key's rows."""
+    zero = F.lit(0).cast("long")
+    lists = keyed.groupBy(*on).agg(F.sort_array(F.collect_list("r")).alias("l"))
+    start = F.struct(F.col("l")[0].alias("winner"), zero.alias("duplicates"), zero.alias("conflicts"), zero.alias("inconsistent"))
+
+    def step(s: Column, r: Column) -> Column:
+        equal = _equal(r, s["winner"], values, types) | r.eqNullSafe(s["winner"])
+        over = ~equal & (s["winner"]["_rank"] == 1) & (r["_rank"] == 2)
+        add = lambda c, n: (s[n] + c.cast("long")).alias(n)
+        return F.struct(F.when(over, r).otherwise(s["winner"]).alias("winner"), add(equal, "duplicates"), add(over, "conflicts"), add(~equal & ~over, "inconsistent"))
+
+    return lists.select(*on, F.aggregate(F.slice("l", F.lit(2), F.greatest(F.size("l") - 1, F.lit(0))), start, step).alias("s")).select(*on, "s.*")
+
+
+def _by_sums(keyed: DataFrame, on: list[str], values: list[str], types: dict[str, str]) -> DataFrame:
+    """The same by the base, the row that overrules it, and what lies after it."""
+    eq = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in on])
+    keyed = stored(keyed, "conflicts")
     base = keyed.groupBy(*on).agg(F.min("r").alias("base"))
     a, b = keyed.alias("a"), base.alias("b")
     joined = a.join(b, eq(a, b)).select(*[F.col(f"a.{k}") for k in on], "r", "base")
@@ -58,9 +88,7 @@ def resolve_archives(rows: DataFrame, key: list[str], values: list[str], source:
     # Exact copies of the base or the overruling row, order included, are duplicates as well.
     copies = F.greatest(n(is_base) - 1, F.lit(0)) + F.greatest(n(is_star & has) - 1, F.lit(0))
     out = whole.groupBy(*on).agg(F.first("base").alias("base"), F.first("star").alias("star"), (n(dup) + copies).alias("duplicates"), F.max(has.cast("long")).alias("conflicts"), n(bad).alias("inconsistent"))
-    out = out.unionByName(single)
-    winner = F.coalesce("star", "base")
-    return out.select(*[F.col(f"_k_{k}").alias(k) for k in key], F.struct(*[winner[c].alias(c) for c in cols]).alias("winner"), "duplicates", "conflicts", "inconsistent")
+    return out.select(*on, F.coalesce("star", "base").alias("winner"), "duplicates", "conflicts", "inconsistent")
 
 
 def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -1,5 +1,8 @@
 import itertools
 
+import pytest
+
+from barloom.operators import conflicts
 from barloom.operators.conflicts import last_wins, resolve_archives, upsert, upsert_counts
 from barloom.schema import VALUES
 
@@ -21,7 +24,10 @@ def fold(rows):
     return win[1], dup, conf, bad
 
 
-def test_all_short_sequences(spark):
+@pytest.mark.parametrize("few", [conflicts.FEW, 3, 0])
+def test_all_short_sequences(spark, monkeypatch, few):
+    """Folded as arrays, by sums, and both side by side."""
+    monkeypatch.setattr(conflicts, "FEW", few)
     kinds = [("monthly", "2024-01"), ("daily", "2024-01-01")]
     rows, k = [], 0
     for n in range(1, 5):
@@ -36,7 +42,9 @@ def test_all_short_sequences(spark):
     assert got == {k: fold(v) for k, v in by.items()}
 
 
-def test_nulls_nan_and_copies(spark):
+@pytest.mark.parametrize("few", [conflicts.FEW, 0])
+def test_nulls_nan_and_copies(spark, monkeypatch, few):
+    monkeypatch.setattr(conflicts, "FEW", few)
     nan = float("nan")
     rows = [(1, 0, "daily", "p", nan, 1), (1, 1, "daily", "p", nan, 1), (2, 0, "monthly", None, None, None), (2, 1, "daily", None, None, None), (3, 5, "monthly", "p", 1.0, 1), (3, 5, "monthly", "p", 1.0, 1), (None, 0, "daily", "p", 1.0, 1)]
     got = {r.k: (r.duplicates, r.conflicts, r.inconsistent) for r in resolve_archives(spark.createDataFrame(rows, SHAPE), ["k"], ["v", "w"]).collect()}
