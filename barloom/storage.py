@@ -65,11 +65,14 @@ class Files:
 
 
 def arrow_place(path: str):
-    """The file system of a path for Arrow, and the path on it; for Python workers that read and write files where they run."""
+    """The file system of a path for Arrow, and the path on it; for Python workers that read and write files where they run. A local path is taken as it stands, as Hadoop does; elsewhere what a URI can't hold (other scripts, blanks, #) is escaped, while % and ? mean what they mean to Arrow."""
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    if "://" not in path:
-        path = "file://" + path.removeprefix("file:")
+    if path.startswith("file:") or "://" not in path:
+        local = path.removeprefix("file:")
+        return fs.LocalFileSystem(), "/" + local.strip("/") if local.startswith("/") else local
     for other in ("s3a://", "s3n://"):
         path = path.replace(other, "s3://", 1) if path.startswith(other) else path
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(quote(path, safe="/:?@[]!$&'()*+,;=%~"))

@@ -304,3 +304,20 @@ def test_stream_to_dataset(spark, tmp_path):
     assert router.state().first().merged_bars == 4
     rebuild(spark, str(root), "1m", str(tmp_path / "again"))
     assert {r.open_time: r.close for r in read_bars(spark, str(tmp_path / "again")).collect()} == got
+
+
+@pytest.mark.parametrize("name", ["灵焰", "a b", "a#b", "a?b", "a%3Ab", "é|{}"])
+def test_places_of_any_name(spark, tmp_path, name):
+    """materialized_manifest and others: names that a URI can't hold unescaped, with and without a scheme; archives of such names are read and verified."""
+    from barloom.storage import arrow_place
+
+    put_zip(tmp_path / f"{name}.zip", line(T0))
+    for scheme in ("", "file:", "file://"):
+        system, place = arrow_place(f"{scheme}{tmp_path}/{name}.zip")
+        assert place == f"{tmp_path}/{name}.zip" and system.get_file_info(place).size > 0
+    assert arrow_place("mock:///灵/a b#c%20d")[1] == "灵/a b#c d"
+    path = f"file://{tmp_path}/{name}.zip"
+    assert [r.open_time for r in archives.parse_lines(archives.read_zip_lines(spark, specs(spark, path))).collect()] == [T0]
+    (tmp_path / f"{name}.sum").write_text(hashlib.sha256((tmp_path / f"{name}.zip").read_bytes()).hexdigest())
+    records = spark.createDataFrame([(path, path[:-3] + "sum")], "local_zip_path string, local_checksum_path string")
+    assert archives.verify_files(spark, records).first().checksum_status == "passed"
