@@ -23,6 +23,8 @@ from barloom.storage import arrow_place
 
 #: Bytes of CSV that are handed on at a time, and the most tasks that files are spread over.
 BLOCK, TASKS = 8 << 20, 20_000
+#: Archives a task, as a task costs a Python worker more than reading a small one; so many tasks get one each before any gets more.
+EACH, LEAST = 32, 64
 
 
 def _lines(content: bytes) -> Iterator[list[str]]:
@@ -61,13 +63,13 @@ def read_zip_lines(spark: SparkSession, specs: DataFrame) -> DataFrame:
     ship(spark)
     shape = "symbol string, interval string, archive_source string, archive_period string, source_archive string, line_no long, line string, error string"
     cols = specs.select("symbol", "interval", "archive_source", "archive_period", "path")
-    return spread(cols, "path").mapInPandas(run, shape)
+    return spread(cols, "path", EACH).mapInPandas(run, shape)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows that each stand for a file, over as many tasks as their counted number asks for, whatever their few bytes: a row a task up to TASKS, then alike many in each."""
+def spread(rows: DataFrame, key: str, each: int = 1) -> DataFrame:
+    """Rows that each stand for a file, over as many tasks as their counted number asks for, whatever their few bytes: `each` rows a task (fewer while that makes under LEAST tasks) up to TASKS, then alike many in each."""
     n = rows.count()
-    return rows.repartition(max(1, min(n, TASKS)), F.xxhash64(key)) if n > 1 else rows
+    return rows.repartition(max(1, min(n, max(LEAST, -(-n // each)), TASKS)), F.xxhash64(key)) if n > 1 else rows
 
 
 def parse_lines(lines: DataFrame, keep_errors: bool = False) -> DataFrame:
@@ -145,7 +147,7 @@ def verify_files(spark: SparkSession, records: DataFrame) -> DataFrame:
     ship(spark)
     rows = records.drop("checksum_status", "file_size")
     shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", checksum_status string, file_size long"
-    return spread(rows, "local_zip_path").mapInPandas(run, shape)
+    return spread(rows, "local_zip_path", EACH).mapInPandas(run, shape)
 
 
 # -- listings

@@ -321,3 +321,12 @@ def test_places_of_any_name(spark, tmp_path, name):
     (tmp_path / f"{name}.sum").write_text(hashlib.sha256((tmp_path / f"{name}.zip").read_bytes()).hexdigest())
     records = spark.createDataFrame([(path, path[:-3] + "sum")], "local_zip_path string, local_checksum_path string")
     assert archives.verify_files(spark, records).first().checksum_status == "passed"
+
+
+def test_many_archives_share_tasks(spark):
+    """zip_lines, zip_checksums and others: a task costs more than reading a small archive, so many archives share some, and few have one each."""
+    paths = spark.range(6400).select(F.lit("A").alias("symbol"), F.lit("1m").alias("interval"), F.lit("daily").alias("archive_source"), F.lit("p").alias("archive_period"), F.format_string("/none/%d.zip", "id").alias("path"))
+    parts = lambda df: df.rdd.getNumPartitions()
+    assert parts(archives.read_zip_lines(spark, paths)) == 200 and parts(archives.read_zip_lines(spark, paths.limit(70))) == 64 and parts(archives.read_zip_lines(spark, paths.limit(50))) == 50
+    assert parts(archives.verify_files(spark, paths.select(F.col("path").alias("local_zip_path"), F.col("path").alias("local_checksum_path")))) == 200
+    assert archives.read_zip_lines(spark, paths.limit(300)).where("error like 'FileNotFoundError%'").select("source_archive").distinct().count() == 300
