@@ -330,3 +330,12 @@ def test_many_archives_share_tasks(spark):
     assert parts(archives.read_zip_lines(spark, paths)) == 200 and parts(archives.read_zip_lines(spark, paths.limit(70))) == 64 and parts(archives.read_zip_lines(spark, paths.limit(50))) == 50
     assert parts(archives.verify_files(spark, paths.select(F.col("path").alias("local_zip_path"), F.col("path").alias("local_checksum_path")))) == 200
     assert archives.read_zip_lines(spark, paths.limit(300)).where("error like 'FileNotFoundError%'").select("source_archive").distinct().count() == 300
+
+
+def test_materialized_symbol_in_other_script(spark, tmp_path):
+    """materialized_bars: the archive and the partition of a symbol in another script, to the seed and back."""
+    from barloom.sources.materialize import materialize
+
+    units = specs(spark, put_zip(tmp_path / "灵焰-1m.zip", line(T0))).withColumn("symbol", F.lit("灵焰"))
+    assert materialize(spark, units, str(tmp_path / "灵"), "1m")["row_count"] == 1
+    assert [(r.symbol, r.open_time) for r in read_bars(spark, str(tmp_path / "灵"), current=False).collect()] == [("灵焰", T0)]
