@@ -339,3 +339,13 @@ def test_materialized_symbol_in_other_script(spark, tmp_path):
     units = specs(spark, put_zip(tmp_path / "灵焰-1m.zip", line(T0))).withColumn("symbol", F.lit("灵焰"))
     assert materialize(spark, units, str(tmp_path / "灵"), "1m")["row_count"] == 1
     assert [(r.symbol, r.open_time) for r in read_bars(spark, str(tmp_path / "灵"), current=False).collect()] == [("灵焰", T0)]
+
+
+
+def test_checksums_in_other_script(spark, tmp_path):
+    """zip_checksums: archives and sums of symbols in another script."""
+    put_zip(tmp_path / "灵.zip", line(T0))
+    for n, said in (("灵.sum", hashlib.sha256((tmp_path / "灵.zip").read_bytes()).hexdigest()), ("焰.sum", "00")):
+        (tmp_path / n).write_text(said)
+    records = spark.createDataFrame([(f"file:{tmp_path}/灵.zip", f"file:{tmp_path}/{n}.sum") for n in ("灵", "焰", "没")], "local_zip_path string, local_checksum_path string")
+    assert sorted(r.checksum_status for r in archives.verify_files(spark, records).collect()) == ["failed", "missing_checksum", "passed"]
